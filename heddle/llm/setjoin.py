@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from heddle.runtime import durable
 
 #: White space that may stand around an entry.
-_BLANK = " \t\n\r\f\v      　﻿"
+_BLANK = " \t\n\r\f\v\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def as_set(column: str) -> Column:
@@ -81,15 +81,16 @@ def similar_classes(classes: DataFrame, threshold: float, *, most: int = 100, le
     keys = ordered.select("cls", "size", "type", F.array().cast("array<long>").alias("used"), "toks")
     found: list[DataFrame] = []
     for level in range(1, levels + 1):
-        longer = keys.withColumn("tok", F.explode(F.array_except(prefix(level), F.col("used"))))
+        longer = keys.select("cls", "size", "type", "used", "toks").withColumn("tok", F.explode(F.array_except(prefix(level), F.col("used"))))
         longer = longer.withColumn("used", F.concat("used", F.array("tok"))).withColumn("key", F.xxhash64("type", "used"))
         holders = longer.groupBy("key").count().where("count > 1")
         small = holders if level == levels else holders.where(F.col("count") <= most)
         rows = longer.select("cls", "size", "key")
         if level < levels:
             found.append(_pairs(rows.join(small.select("key"), "key"), top, base))
-            keys = longer.join(holders.where(F.col("count") > most).select("key"), "key").select("cls", "size", "type", "used", "toks")
-            keys = durable(keys)
+            keys = durable(longer.join(holders.where(F.col("count") > most), "key").select("cls", "size", "type", "used", "toks", "key", "count"))
+            # Sets so small that a pair may share no more tokens than the key has: a longer key would lose that pair.
+            found.append(_block_pairs(keys.where(need <= level).select("key", "cls", "size", "count"), most, top, base))
             if keys.isEmpty():
                 break
         else:

@@ -3,7 +3,7 @@ import pytest
 from heddle.llm.confusables import match_display, skeleton, skeleton_groups
 
 
-@pytest.mark.parametrize("a,b", [("Norvale TV", "Ｎｏｒｖａｌｅ　ＴＶ"), ("Canal Ménora", "Canal Ménora"), ("Copex Action", "Сорех Асtіоn"), ("海台", "海台"), ("鹿山", "⿅⼭"), ("Max-7 A", "Max‑7 A"), ("abc", "a​b­﻿c⁠"), ("Ново", "Hoвo"), ("(x)", "（x）"), ("ΝΒΧ", "NBX"), ("Ёж", "Ёж")])
+@pytest.mark.parametrize("a,b", [("Norvale TV", "Ｎｏｒｖａｌｅ　ＴＶ"), ("Canal Ménora", "Canal Ménora"), ("Copex Action", "Сорех Асtіоn"), ("海台", "海台"), ("鹿山", "⿅⼭"), ("Max-7 A", "Max‑7\u00a0A"), ("abc", "a\u200bb\u00ad\ufeffc\u2060"), ("Ново", "Hoвo"), ("(x)", "（x）"), ("ΝΒΧ", "NBX"), ("Ёж", "Ёж")])
 def test_same_look(a, b):
     assert skeleton(a) == skeleton(b)
 
@@ -14,12 +14,12 @@ def test_other_look(a, b):
 
 
 def test_null_empty_invisible_long():
-    assert skeleton(None) is None and skeleton("") == "" and skeleton("​­") == "" and skeleton("\t 　") == ""
+    assert skeleton(None) is None and skeleton("") == "" and skeleton("\u200b\u00ad") == "" and skeleton("\t 　") == ""
     assert skeleton("а" * 100_000) == "a" * 100_000
 
 
 def test_match(spark):
-    vocab = spark.createDataFrame([(1, "Canal Ménora"), (2, "Canal Menora"), (3, None), (4, "​"), (5, "Opal")], "vid int, entry string")
+    vocab = spark.createDataFrame([(1, "Canal Ménora"), (2, "Canal Menora"), (3, None), (4, "\u200b"), (5, "Opal")], "vid int, entry string")
     rows = [(1, "Canal Menоra"), (2, "Canal Menora"), (3, None), (4, ""), (5, "Ｏpal"), (5, "Ｏpal"), (None, "Орal"), (7, "opal")]
     df = spark.createDataFrame([(*r, "f", 9) for r in rows], "id long, name string, form string, entry_id int")
     got = match_display(df, id="id", column="name", vocab=vocab, vocab_id="vid", vocab_column="entry")
