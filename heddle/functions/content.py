@@ -61,8 +61,8 @@ def looks_like_stream(c: Column) -> Column:
 def body_shape(c: Column) -> Column:
     """live, html, json, bom or other, by the first characters of a body."""
     b = F.coalesce(c, F.lit(""))
-    t = F.regexp_replace(b, "^[\\s﻿]+", "")
-    return F.when(b.startswith("﻿"), "bom").when(t.rlike("^#EXTM3U") | t.rlike("(^|\\n)[^\\n]*,#genre#"), "live").when(t.rlike("^<(?i:!doctype|html)"), "html").when(t.rlike(r"^[\[{]"), "json").otherwise("other")
+    t = F.regexp_replace(b, "^[\\s\ufeff]+", "")
+    return F.when(b.startswith("\ufeff"), "bom").when(t.rlike("^#EXTM3U") | t.rlike("(^|\\n)[^\\n]*,#genre#"), "live").when(t.rlike("^<(?i:!doctype|html)"), "html").when(t.rlike(r"^[\[{]"), "json").otherwise("other")
 
 
 def response_class(code: Column, body: Column) -> Column:

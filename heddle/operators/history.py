@@ -49,16 +49,35 @@ def latest(df: DataFrame, by: str, order: list[str], keep: list[str]) -> DataFra
     return df.groupBy(by).agg(F.max_by(F.struct(*keep), F.struct(*order)).alias("__r")).select(by, "__r.*")
 
 
-def carry(df: DataFrame, *, by: list[str], order: str, state: Column, name: str) -> DataFrame:
-    """Carries the last non-null state forward; as one struct, so that parts set together are reset together."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.last(state, ignorenulls=True).over(w))
+def _with_pieces(df: DataFrame, by: list[str], order: str, piece: int, summary: Column, before: Column) -> DataFrame:
+    """Adds ``__p``, the piece a row's whole-number order falls in, and ``__before``, what the pieces ahead of it leave."""
+    rows = df.withColumn("__p", F.floor(F.col(order) / piece))
+    pieces = rows.groupBy(*by, "__p").agg(summary.alias("__s"))
+    w = Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = pieces.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)], F.col("__p").alias("__q"), before.over(w).alias("__before"))
+    on = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)] + [F.col("__p") == F.col("__q")]
+    return rows.join(ahead, on).drop("__q", *[f"__k{i}" for i in range(len(by))])
 
 
-def block_ids(df: DataFrame, *, by: list[str], order: str, starts: Column) -> DataFrame:
-    """Numbers the blocks that begin at rows where ``starts`` holds."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("block", F.sum(F.when(starts, 1).otherwise(0)).over(w))
+def carry(df: DataFrame, *, by: list[str], order: str, state: Column, name: str, piece: int = 1_000_000) -> DataFrame:
+    """Carries the last non-null state forward; as one struct, so that parts set together are reset together.
+
+    ``order`` is a whole number. A group is cut every ``piece`` of it; a piece gets what the pieces ahead of it left over
+    from one row each, so a group with a third of all rows is spread over many tasks.
+    """
+    rows = df.withColumn("__v", state)
+    left = F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col(order)))
+    rows = _with_pieces(rows, by, order, piece, left, F.last("__s", ignorenulls=True))
+    w = Window.partitionBy(*by, "__p").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(name, F.coalesce(F.last("__v", ignorenulls=True).over(w), F.col("__before"))).drop("__v", "__p", "__before")
+
+
+def block_ids(df: DataFrame, *, by: list[str], order: str, starts: Column, piece: int = 1_000_000) -> DataFrame:
+    """Numbers the blocks that begin at rows where ``starts`` holds; cut into pieces like :func:`carry`."""
+    rows = df.withColumn("__v", F.when(starts, 1).otherwise(0))
+    rows = _with_pieces(rows, by, order, piece, F.sum("__v"), F.sum("__s"))
+    w = Window.partitionBy(*by, "__p").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("block", F.sum("__v").over(w) + F.coalesce("__before", F.lit(0))).drop("__v", "__p", "__before")
 
 
 def rotation_window(df: DataFrame, *, key: str, day: str, width: int) -> DataFrame:

@@ -26,8 +26,10 @@ def load_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A JSON document; a missing or corrupt one gives no rows."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema + ", _corrupt string").json(path, multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    return rows.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    texts = spark.read.text(path, wholetext=True).where(F.try_parse_json("value").isNotNull())
+    # One object, or an array of them.
+    many = F.when(F.col("value").rlike(r"^\s*\["), F.from_json("value", f"array<struct<{schema}>>")).otherwise(F.array(F.from_json("value", schema)))
+    return texts.select(F.explode(many).alias("r")).select("r.*")
 
 
 def load_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heddle.operators.history import carry
+
 #: Line ends as text tools see them, not only the newline.
-LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+LINE_ENDS = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 _URL = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
 
 
@@ -30,8 +32,7 @@ def parse_lines(lines: DataFrame, *, by: list[str], order: str, line: str) -> Da
     group = F.regexp_extract(t, r'group-title="([^"]*)"', 1)
     empty = F.lit("")
     new = F.when(info, F.struct(name.alias("name"), group.alias("grp"))).when(genre, F.struct(empty.alias("name"), F.trim(F.regexp_extract(t, r"^(.*?),\s*#genre#", 1)).alias("grp")))
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("__t", t).withColumn("__s", F.last(new, ignorenulls=True).over(w))
+    rows = carry(lines.withColumn("__t", t), by=by, order=order, state=new, name="__s")
     pending = F.coalesce("__s.name", empty)
     bare = F.col("__t").rlike(_URL) & (pending != "")
     pair = ~F.col("__t").rlike("^#") & (pending == "") & F.col("__t").rlike(r"^[^,]+,\s*[A-Za-z][A-Za-z0-9+.\-]*://") & ~genre
