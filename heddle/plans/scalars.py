@@ -140,6 +140,7 @@ QUERIES = {
 
 _NORMAL_FULL = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 _NORMAL_HALF = "".join(chr(c) for c in range(0x21, 0x7F)).replace("'", "''")
+NORMAL_NAME = f"""regexp_replace(lower(translate(translate(replace(regexp_replace({_U.format('name')}, '^(?:[【\\[][^】\\]]*[】\\]]\\s*)+', ''), '　', ' '), '{_NORMAL_FULL}', '{_NORMAL_HALF}'), '{names.TRAD[0]}', '{names.TRAD[1]}')), '[\\s_\\-·•|┃.]+', '', 'g')"""
 _BAD = "[<>:\"|?*\\\\\\x00-\\x1f]"
 _SAFE = f"""(CASE WHEN rtrim(regexp_replace(s, '{_BAD}', '_', 'g'), ' .') = '' THEN '_'
   WHEN upper(split_part(rtrim(regexp_replace(s, '{_BAD}', '_', 'g'), ' .'), '.', 1)) IN ({', '.join(repr(x) for x in names.RESERVED)}) THEN '_' || rtrim(regexp_replace(s, '{_BAD}', '_', 'g'), ' .')
@@ -160,7 +161,7 @@ SQL = {
         regexp_replace(lower({_U.format('name')}), '[\\s_\\-·•]+', '', 'g') AS key_form, regexp_replace(coalesce(group_name, ''), '^(综合|4K)-', '') AS core FROM lives""",
     "tag_and_score": """SELECT row_id, CASE WHEN coalesce(origin, '') <> '' THEN substr(regexp_replace(split_part(origin, '/', -1), '^\\d+-', ''), 1, 12) WHEN coalesce(key, '') <> '' THEN substr(key, 1, 8) ELSE 'unk' END AS tag,
         (CASE WHEN regexp_matches(coalesce(name, ''), '\\[\\d+ms') THEN 10 ELSE 0 END + CASE WHEN searchable = 1 THEN 5 ELSE 0 END + CASE WHEN quick_search = 1 THEN 3 ELSE 0 END + CASE WHEN coalesce(api, '') <> '' THEN 2 ELSE 0 END) AS score FROM sites""",
-    "normalized_names": f"""SELECT live_id, regexp_replace(lower(translate(translate(replace(regexp_replace({_U.format('name')}, '^(?:[【\\[][^】\\]]*[】\\]]\\s*)+', ''), '　', ' '), '{_NORMAL_FULL}', '{_NORMAL_HALF}'), '{names.TRAD[0]}', '{names.TRAD[1]}')), '[\\s_\\-·•|┃.]+', '', 'g') AS norm FROM lives""",
+    "normalized_names": f"SELECT live_id, {NORMAL_NAME} AS norm FROM lives",
     "reference_paths": f"""WITH p AS (SELECT row_id, list_filter(list_transform(string_split(coalesce(ext, ''), '$$$'), lambda x: regexp_replace(regexp_replace(x, '(?s);.*$', ''), '^\\s+|\\s+$', '', 'g')), lambda x: regexp_matches(x, '^\\.{{1,2}}/')) AS l FROM sites),
         r AS (SELECT row_id, unnest(range(len(l)))::INT AS pos, unnest(l) AS ref FROM p),
         f AS (SELECT *, list_filter(list_transform(string_split(replace(ref, '\\', '/'), '/'), lambda s: CASE WHEN s = '' THEN 'empty segment' WHEN regexp_matches(s, '{_BAD}') THEN 'illegal character' WHEN regexp_matches(s, '[ .]$') THEN 'ends with dot or space'
@@ -173,6 +174,10 @@ SQL = {
     "quoted_paths": """SELECT name_id, 'https://h.example' || array_to_string(list_transform(string_split('/a/' || display_name, '/'), lambda s: url_encode(s)), '/') AS quoted FROM name_vocab""",
     "safe_names": f"""WITH p AS (SELECT live_id, list_filter(string_split(replace(concat_ws('/', group_name, name), '\\', '/'), '/'), lambda s: s NOT IN ('', '.', '..')) AS l FROM lives),
         j AS (SELECT live_id, array_to_string(list_transform(l, lambda s: {_SAFE}), '/') AS q FROM p) SELECT live_id, CASE WHEN q = '' THEN '_' ELSE q END AS path FROM j""",
+    "content_kinds": f"""WITH t AS (SELECT coalesce(text, '') AS x, text, regexp_replace(coalesce(text, ''), '^[\\s\ufeff]+', '') AS t, substr(text, 1, 64) AS h FROM documents), k AS (SELECT *, regexp_replace(h, '^[ \\t\\n\\r\\x0b\\x0c]+', '') AS l FROM t)
+        SELECT CASE WHEN starts_with(x, '\ufeff') THEN 'bom' WHEN starts_with(t, '#EXTM3U') OR regexp_matches(t, '(^|\\n)[^\\n]*,#genre#') THEN 'live' WHEN regexp_matches(t, '^<(?i:!doctype|html)') THEN 'html' WHEN regexp_matches(t, '^[\\[{{]') THEN 'json' ELSE 'other' END AS shape,
+        CASE WHEN text IS NULL THEN NULL WHEN starts_with(l, '<!DOCTYPE') OR starts_with(l, '<!doctype') OR starts_with(l, '<html') THEN 'html' WHEN starts_with(l, '{{') THEN 'json'
+        WHEN regexp_matches(CASE WHEN strlen(h) <= 64 THEN l ELSE l END, '[^\\x00-\\x7f]') THEN 'binary' ELSE 'text' END AS kind, count(*) AS n FROM k GROUP BY 1, 2""",
     "response_levels": """SELECT CASE WHEN code BETWEEN 200 AND 299 AND regexp_matches(b, '^\\s*[\\[{]') THEN 'E2' WHEN code BETWEEN 200 AND 299 AND length(trim(b)) > 0 THEN 'E1' WHEN code IN (404, 410) OR code >= 500 THEN 'E0' ELSE 'E?' END AS level, count(*) AS n
         FROM (SELECT [200, 404, 503, 302, 206][probe_id % 5 + 1] AS code, api AS b FROM sites_probe) GROUP BY 1""",
     "health_of_levels": f"SELECT {_cases('level', grades.LEVEL_HEALTH, 'unknown')} AS health_class, {_cases('level', grades.LEVEL_RANK, 7)} AS rank, count(*) AS n FROM interfaces GROUP BY 1, 2",

@@ -174,3 +174,47 @@ def markdown_table(df: DataFrame, most: int = 200) -> str:
     rows = df.limit(most).collect()
     head = "| " + " | ".join(df.columns) + " |\n|" + " --- |" * len(df.columns)
     return head + "".join("\n| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows) + "\n"
+
+
+def append_jsonl(df: DataFrame, path: str) -> None:
+    """Appends rows as JSON lines."""
+    df.write.mode("append").json(path)
+
+
+def html_table(df: DataFrame, title: str, most: int = 500) -> str:
+    """A small result as an HTML page; the limit is the report's."""
+    from html import escape
+
+    rows = df.limit(most).collect()
+    cells = lambda tag, values: "<tr>" + "".join(f"<{tag}>{escape('' if v is None else str(v))}</{tag}>" for v in values) + "</tr>"
+    return f"<!DOCTYPE html><title>{escape(title)}</title><table>{cells('th', df.columns)}{''.join(cells('td', r) for r in rows)}</table>"
+
+
+def export_subsets(df: DataFrame, folder: str, by: list[str]) -> None:
+    """One folder of Parquet files for each value of ``by``; rows of one value come from many tasks."""
+    df.write.mode("overwrite").partitionBy(*by).parquet(folder)
+
+
+def read_nul_list(spark: SparkSession, path: str) -> DataFrame:
+    """(path) entries of a list separated by NUL, as version control prints them; names are UTF-8."""
+    return spark.read.text(path, lineSep="\0").select(F.col("value").alias("path")).where(F.length("path") > 0)
+
+
+def archive_entries(df: DataFrame, *, path: str, content: str) -> DataFrame:
+    """(path, error, entries): the names in a zip archive; an unreadable one has an error and a null list, never an empty one."""
+    import io
+    import zipfile
+
+    def one(b: bytes | None) -> tuple[str | None, list[str] | None]:
+        try:
+            with zipfile.ZipFile(io.BytesIO(b or b"")) as z:
+                return None, sorted(z.namelist())
+        except (zipfile.BadZipFile, ValueError, OSError) as e:
+            return type(e).__name__, None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [one(x) for x in b["c"]]
+            yield pd.DataFrame({"path": b["path"], "error": [e for e, _ in got], "entries": [n for _, n in got]})
+
+    return df.select(F.col(path).alias("path"), F.col(content).alias("c")).mapInPandas(run, "path string, error string, entries array<string>")
