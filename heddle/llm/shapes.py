@@ -43,7 +43,8 @@ _LATIN = re.compile(r"[A-Za-zÀ-ɏͰ-ӿ]+(?:['’][a-z]+)?")
 class ShapeConfig:
     """``share``: of the characters, above which a page is flagged. ``repeats``: pieces of one short shape that make a list.
     ``fields``: short fields that make one piece a list. ``run``: ideographs in a row that no sentence has without small signs. A sentence is stuffed if ``stuffed`` of its units occur
-    ``again`` times in it and the ``around`` sentences on either side; texts with fewer than ``least_units`` never are."""
+    ``again`` times in it and the ``around`` sentences on either side, and if stuffed sentences repeat a share of ``within``
+    of their units inside them; texts with fewer than ``least_units`` never are."""
 
     share: float = 0.5
     repeats: int = 4
@@ -54,6 +55,7 @@ class ShapeConfig:
     around: int = 3
     again: int = 3
     stuffed: float = 0.4
+    within: float = 0.12
     least_units: int = 12
 
 
@@ -97,11 +99,15 @@ def shape_of(piece: str, c: ShapeConfig = ShapeConfig()) -> tuple[str, str, list
 
 
 def stuffed(sentences: list[tuple[int, list[str]]], c: ShapeConfig) -> int:
-    """The size of those (size, units) sentences most of whose units come up again and again in the sentences around them."""
+    """The size of those (size, units) sentences whose units come up again and again in the sentences around them.
+
+    Keywords are also repeated inside a sentence. Sentences that are only alike, as in a log, repeat words from one to the
+    next but not within, and count for nothing.
+    """
     if sum(len(u) for _, u in sentences) < c.least_units:
         return 0
     near: Counter[str] = Counter()
-    total, size = 0, len(sentences)
+    total, size, units_in, repeated = 0, len(sentences), 0, 0
     for i in range(min(c.around, size)):
         near.update(sentences[i][1])
     for i, (chars, units) in enumerate(sentences):
@@ -111,7 +117,9 @@ def stuffed(sentences: list[tuple[int, list[str]]], c: ShapeConfig) -> int:
             near.subtract(sentences[i - c.around - 1][1])
         if units and sum(near[u] >= c.again for u in units) >= c.stuffed * len(units):
             total += chars
-    return total
+            units_in += len(units)
+            repeated += len(units) - len(set(units))
+    return total if repeated >= c.within * units_in else 0
 
 
 def list_share(text: str | None, c: ShapeConfig = ShapeConfig()) -> float:
