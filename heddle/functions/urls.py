@@ -22,12 +22,10 @@ def strip_proxy(c: Column, hosts: str = PROXY_HOSTS) -> Column:
 def canonical_url(c: Column, hosts: str = PROXY_HOSTS) -> Column:
     """Host and path as an identity: no mirror prefix, scheme, www., default port, fragment or trailing slash; host in
     lower case, path and query as they are."""
-    u = F.regexp_replace(strip_proxy(text(c), hosts), r"(?s)#.*$", "")
-    secure = u.rlike(r"^(?i)https://")
-    u = F.regexp_replace(u, r"^(?i)https?://", "")
-    host = F.regexp_replace(F.lower(F.regexp_extract(u, r"^([^/?]*)", 1)), r"^www\.", "")
-    host = F.when(secure, F.regexp_replace(host, r":443$", "")).otherwise(F.regexp_replace(host, r":80$", ""))
-    return F.concat(host, F.regexp_replace(F.regexp_extract(u, r"(?s)^[^/?]*(.*)$", 1), r"/+$", ""))
+    u = F.regexp_replace(strip_proxy(text(c), hosts), r"(?s)(?:/+#|#).*$|/+$", "")
+    u = F.regexp_replace(u, r"^(?i)(https://[^/?]*):443(?=[/?]|$)|^((?:http://)?[^/?:]*):80(?=[/?]|$)", "$1$2")
+    u = F.regexp_replace(u, r"^(?i)(?:https?://)?(?:www\.)?", "")
+    return F.concat(F.lower(F.regexp_extract(u, r"^[^/?]*", 0)), F.regexp_extract(u, r"(?s)^[^/?]*(.*)$", 1))
 
 
 def norm_url(c: Column) -> Column:

@@ -53,11 +53,17 @@ def first_match(df: DataFrame, ref: DataFrame, tries: list[tuple[Column, str]],
 
 
 def prefix_match(df: DataFrame, ref: DataFrame, *, left: str, right: str, length: int, name: str) -> DataFrame:
-    """Adds the least value of ``right`` that begins ``left`` or is begun by it; both share their first ``length`` signs,
-    which makes the prefix test an equi-join."""
-    r = ref.select(F.col(right).alias("__r")).where(F.length("__r") >= length).distinct().withColumn("__p", F.substring("__r", 1, length))
-    hit = df.withColumn("__p", F.substring(left, 1, length)).join(r, "__p").where(F.col(left).startswith(F.col("__r")) | F.col("__r").startswith(F.col(left)))
-    best = hit.groupBy(F.col(left).alias("__l")).agg(F.min("__r").alias(name))
+    """Adds the least value of ``right``, of at least ``length`` signs, that begins ``left`` or is begun by it.
+
+    A prefix test as an equi-join: each value is cut at the lengths that occur on the other side.
+    """
+    r = ref.select(F.col(right).alias("__r")).where(F.length("__r") >= length).distinct()
+    le = df.select(F.col(left).alias("__l")).where(F.col(left).isNotNull()).distinct()
+    cuts = lambda d, c: F.array(*[F.lit(n) for n in sorted(x[0] for x in d.select(F.length(c)).distinct().limit(10_000).collect())] or [F.lit(0)])
+    prefixes = lambda c, at: F.explode(F.transform(F.filter(at, lambda n: n <= F.length(c)), lambda n: F.substr(F.col(c), F.lit(1), n)))
+    down = le.select("__l", prefixes("__l", cuts(r, "__r")).alias("__r")).join(r, "__r").select("__l", "__r")
+    up = r.select("__r", prefixes("__r", cuts(le, "__l")).alias("__l")).join(le, "__l").select("__l", "__r")
+    best = down.unionByName(up).groupBy("__l").agg(F.min("__r").alias(name))
     return df.join(best, F.col(left) == F.col("__l"), "left").drop("__l")
 
 

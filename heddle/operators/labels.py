@@ -2,34 +2,48 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heddle.runtime import broadcast_if_small
 
-
-def label(df: DataFrame, vocab: DataFrame, *, id: str, text: Column, allow: DataFrame | None = None) -> DataFrame:
+def label(df: DataFrame, vocab: DataFrame, *, id: str, text: Column, allow: DataFrame | None = None, most: int = 200_000) -> DataFrame:
     """(id, reason): the reason of the first keyword, by priority, that a text contains, unless an allowed word is in it.
 
-    ``vocab`` has keyword, reason and priority. Keywords are found by one scan of each text against the broadcast list; if
-    the list is proved small it is folded into one expression, without any join.
+    ``vocab`` has keyword, reason and priority, at most ``most`` rows. A short list is folded into one expression, a long one
+    into an automaton that scans each text once; there is no join, so nothing is shuffled.
     """
-    words = vocab.select("keyword", "reason", "priority").orderBy("priority", "keyword").limit(2001).collect()
-    if len(words) > 2000:
-        rows = df.select(F.col(id), F.lower(text).alias("__t"))
-        hits = rows.join(broadcast_if_small(vocab), F.col("__t").contains(F.lower("keyword")))
-        found = hits.groupBy(id).agg(F.min_by("reason", F.struct("priority", "keyword")).alias("reason"))
+    words = vocab.select(F.lower("keyword").alias("keyword"), "reason", "priority").where("keyword <> ''").orderBy("priority", "keyword").limit(most + 1).collect()
+    if len(words) > most:
+        raise ValueError(f"more than {most} keywords; split the vocabulary")
+    t = F.lower(text)
+    if len(words) > 500:
+        found = df.select(id, _first_keyword([(w.keyword, w.reason) for w in words])(t).alias("reason"), t.alias("__t")).where("reason is not null")
     else:
-        t = F.lower(text)
         case = F.lit(None).cast("string")
         for w in reversed(words):
-            case = F.when(t.contains(w.keyword.lower()), F.lit(w.reason)).otherwise(case)
+            case = F.when(t.contains(w.keyword), F.lit(w.reason)).otherwise(case)
         found = df.select(id, case.alias("reason"), t.alias("__t")).where("reason is not null")
-        if allow is not None:
-            for a in allow.select("keyword").limit(2000).collect():
-                found = found.where(~F.col("__t").contains(a.keyword.lower()))
-        found = found.select(id, "reason")
-    return found
+    if allow is not None:
+        for a in allow.select("keyword").limit(500).collect():
+            found = found.where(~F.col("__t").contains(a.keyword.lower()))
+    return found.select(id, "reason")
+
+
+def _first_keyword(words: list[tuple[str, str]]):
+    """The reason of the first word of a list that a text contains: one automaton, one scan a text."""
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        import ahocorasick
+
+        auto = ahocorasick.Automaton()
+        for i, (w, _) in reversed(list(enumerate(words))):
+            auto.add_word(w, i)
+        auto.make_automaton()
+        first = lambda s: min((i for _, i in auto.iter(s)), default=None)
+        return texts.map(lambda s: None if s is None or (i := first(s)) is None else words[i][1])
+
+    return run
 
 
 def quarantine(df: DataFrame, labelled: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions.content import sketch_value
 from heddle.functions.names import title_norm
 from heddle.functions.urls import host_of
-from heddle.runtime import durable
+from heddle.operators.blocks import block_pairs
+from heddle.operators.union_find import union_find
+from heddle.runtime import durable, hot_lookup
 
 
 def title_set(c: Column) -> Column:
@@ -36,13 +42,13 @@ def mirror_pairs(df: DataFrame, *, id: str, type: str, titles: str, total: str,
     rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), title_set(F.col(titles)).alias("t"), F.col(total).alias("total"), host_of(F.col(api)).alias("host"))
     rows = durable(rows.where((F.size("t") >= least) & F.col("id").isNotNull()))
     words = rows.select("id", "type", F.size("t").alias("n"), F.explode("t").alias("w"))
-    freq = words.groupBy("w").agg(F.count(F.lit(1)).alias("f"))
-    ordered = words.join(freq, "w").groupBy("id", "type", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("s"))
+    freq = durable(words.groupBy("w").agg(F.count(F.lit(1)).alias("f")))
+    ordered = hot_lookup(words, freq, ["w"], "f").groupBy("id", "type", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("s"))
     keep = F.col("n") - F.ceil(F.col("n") * loose[0] / F.lit(loose[1])).cast("int") + 1
     keys = durable(ordered.select("id", "type", "n", F.explode(F.transform(F.slice("s", F.lit(1), keep), lambda x: x["w"])).alias("w")))
-    other = keys.select("type", "w", F.col("id").alias("b"), F.col("n").alias("m"))
-    fit = (F.col("n") * loose[1] >= F.col("m") * loose[0]) & (F.col("m") * loose[1] >= F.col("n") * loose[0])
-    pairs = keys.join(other, ["type", "w"]).where((F.col("id") < F.col("b")) & fit).select(F.col("id").alias("a"), "b").distinct()
+    held = keys.groupBy("type", "w").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    fit = (F.col("n") * loose[1] >= F.col("n_b") * loose[0]) & (F.col("n_b") * loose[1] >= F.col("n") * loose[0])
+    pairs = block_pairs(keys.join(held, ["type", "w"]), key=["type", "w"], item="id", count="held", most=1000, carry=["n"], fit=fit).distinct()
     left = rows.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("total").alias("na"), F.col("host").alias("ha"))
     right = rows.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("total").alias("nb"), F.col("host").alias("hb"))
     full = pairs.join(left, "a").join(right, "b")
@@ -55,21 +61,35 @@ def mirror_pairs(df: DataFrame, *, id: str, type: str, titles: str, total: str,
     return full.withColumn("rule", F.when(library, "library").when(function, "function")).where("rule is not null").select("a", "b", "rule")
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held = [b for b in batches if len(b)]
+    if held:
+        e = pd.concat(held)
+        ids, code = np.unique(np.concatenate([e["u"].to_numpy(), e["v"].to_numpy()]), return_inverse=True)
+        yield pd.DataFrame({"id": ids, "root": ids[union_find(code[: len(e)], code[len(e) :], len(ids))]})
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", in_one_task: int = 1_000_000) -> DataFrame:
     """(id, root): the least id of each component, by alternating large and small stars until nothing moves.
 
+    At most ``in_one_task`` distinct edges are united by union-find in a single task instead.
+
     Rounds grow with the logarithm of the size. Each is written to the shared folder, so no lineage builds up. A star's
-    centre keeps only its least neighbour by an aggregate, which hubs go through in partial form.
+    centre keeps only its least neighbour by an aggregate, and hubs' edges are looked up where they are.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = durable(e)
+    if e.count() <= in_one_task:
+        kind = dict(e.dtypes)["u"]
+        return e.coalesce(1).mapInPandas(_roots, f"id {kind}, root {kind}")
     mark = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")).select("p.u", "p.v")
+        least = durable(both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n"))
+        large = hot_lookup(both.where("v > u"), least, ["u"], "n").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = durable(large)
+        low = durable(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
+        small = hot_lookup(large, low, ["u"], "n").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")).select("p.u", "p.v")
         e = durable(small.where("u <> v").distinct())
         now = e.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first()
         if now == mark:

@@ -228,10 +228,28 @@ def test_mirrors_against_brute_force(spark):
     for a, b in want:
         a, b = sorted((find(a), find(b)))
         up[b] = a
-    assert rows(mirrors.components(pairs)) == sorted(((v, find(v)) for v in up), key=str)
+    want = sorted(((v, find(v)) for v in up), key=str)
+    assert rows(mirrors.components(pairs)) == want == rows(mirrors.components(pairs, in_one_task=0))
 
 
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a int, b int")
-    got = {r.id: r.root for r in mirrors.components(e).collect()}
-    assert set(got.values()) == {0, 100} and len(got) == 43
+    for most in (0, 1000):
+        got = {r.id: r.root for r in mirrors.components(e, in_one_task=most).collect()}
+        assert set(got.values()) == {0, 100} and len(got) == 43
+    assert mirrors.components(e.limit(0)).count() == 0
+
+
+def test_long_vocabularies_use_an_automaton(spark):
+    vocab = spark.createDataFrame([(f"word{i:04}x", f"r{i}", i) for i in range(700)] + [("aa", "first", -1)], "keyword string, reason string, priority int")
+    df = spark.createDataFrame([(1, "has WORD0007x and word0003x"), (2, "AA word0001x"), (3, "none"), (4, None)], "i int, t string")
+    assert rows(labels.label(df, vocab, id="i", text=F.coalesce("t", F.lit("")))) == [(1, "r3"), (2, "first")]
+
+
+@pytest.mark.parametrize("most", [1, 2, 1000])
+def test_block_pairs(spark, most):
+    from heddle.operators.blocks import block_pairs
+
+    df = spark.createDataFrame([("k", i, 7) for i in range(7)] + [("l", 1, 1)], "k string, i int, n int")
+    got = rows(block_pairs(df, key=["k"], item="i", count="n", most=most))
+    assert got == [(a, b) for a in range(7) for b in range(a + 1, 7)]
