@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heddle.runtime import durable
+from heddle.operators.blocks import block_pairs
+from heddle.runtime import durable, hot_lookup
 
 #: White space that may stand around an entry.
 _BLANK = " \t\n\r\f\v\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
@@ -90,11 +91,11 @@ def similar_classes(classes: DataFrame, threshold: float, *, most: int = 100, le
             found.append(_pairs(rows.join(small.select("key"), "key"), top, base))
             keys = durable(longer.join(holders.where(F.col("count") > most), "key").select("cls", "size", "type", "used", "toks", "key", "count"))
             # Sets so small that a pair may share no more tokens than the key has: a longer key would lose that pair.
-            found.append(_block_pairs(keys.where(need <= level).select("key", "cls", "size", "count"), most, top, base))
+            found.append(block_pairs(keys.where(need <= level), key=["key"], item="cls", count="count", most=most, carry=["size"], fit=_sizes_fit(top, base)))
             if keys.isEmpty():
                 break
         else:
-            found.append(_block_pairs(rows.join(small, "key"), most, top, base))
+            found.append(block_pairs(rows.join(small, "key"), key=["key"], item="cls", count="count", most=most, carry=["size"], fit=_sizes_fit(top, base)))
     pairs = found[0]
     for p in found[1:]:
         pairs = pairs.unionByName(p)
@@ -122,18 +123,6 @@ def _pairs(rows: DataFrame, top: int, base: int) -> DataFrame:
     return rows.join(other, "key").where((F.col("cls") < F.col("b")) & _sizes_fit(top, base)).select(F.col("cls").alias("a"), "b")
 
 
-def _block_pairs(rows: DataFrame, most: int, top: int, base: int) -> DataFrame:
-    """Pairs within keys of any size: each record goes to the pairs of blocks that contain its own block."""
-    blocks = F.ceil(F.col("count") / F.lit(most)).cast("int")
-    own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    rows = rows.withColumn("nb", blocks).withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    rows = rows.select("key", "cls", "size", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    other = rows.select("key", "lo", "hi", F.col("cls").alias("b"), F.col("size").alias("size_b"), F.col("own").alias("own_b"))
-    split = (F.col("lo") == F.col("hi")) | (F.col("own") != F.col("own_b"))
-    return rows.join(other, ["key", "lo", "hi"]).where(split & (F.col("cls") < F.col("b")) & _sizes_fit(top, base)).select(F.col("cls").alias("a"), "b")
-
-
 def similar_pairs(df: DataFrame, *, id: str, type: str, values: str, threshold: float, least: int = 1, most: int = 100) -> DataFrame:
     """(id_a, id_b), smaller first, for records of equal type whose sets have |common| / |all| >= threshold.
 
@@ -148,8 +137,9 @@ def similar_pairs(df: DataFrame, *, id: str, type: str, values: str, threshold:
     one = members.select(F.col("cls").alias("a"), F.col("id").alias("x"))
     two = members.select(F.col("cls").alias("b"), F.col("id").alias("y"))
     across = links.select("a", "b").join(one, "a").join(two, "b").select("x", "y")
-    shared = classes.where(F.col("copies") > 1).select(F.col("cls").alias("a"))
-    inside = shared.join(one, "a").join(members.select(F.col("cls").alias("a"), F.col("id").alias("y")), "a").where("x < y").select("x", "y")
+    shared = durable(classes.where(F.col("copies") > 1).select("cls", "copies"))
+    copies = hot_lookup(members, shared, ["cls"], "copies").where(F.col("copies").isNotNull())
+    inside = block_pairs(copies, key=["cls"], item="id", count="copies", most=1000).select(F.col("a").alias("x"), F.col("b").alias("y"))
     every = across.unionByName(inside).where("x <> y")
     return every.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
@@ -166,6 +156,4 @@ def similar_counts(df: DataFrame, *, id: str, type: str, values: str, threshold:
     near = ends.join(copies.select(F.col("cls").alias("far"), "copies"), "far").groupBy("cls").agg(F.sum("copies").alias("others"))
     names = members.groupBy("cls").agg(F.min("id").alias("class_id"))
     per = names.join(copies, "cls").join(near, "cls", "left").select("cls", "class_id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("links"), F.col("copies").alias("n"))
-    from heddle.runtime import hot_lookup
-
     return hot_lookup(members, durable(per), ["cls"], "n").select("id", "class_id", "links")
