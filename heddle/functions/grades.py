@@ -53,9 +53,14 @@ def funnel_grade(*gates: Column) -> Column:
     return F.when(all_of, f"D{n}").otherwise(F.when(yes[n - 1], F.when(out == "D0", "D0").otherwise(out)).otherwise(out))
 
 
-def site_kind(group: Column) -> Column:
+#: Kinds of sites and the pattern of the group names that mean them, tried in this order.
+SITE_KINDS = {"csp": "蜘蛛", "js": "本地JS", "pan": "网盘", "short": "^短剧$", "std": "采集站|直连"}
+
+
+def site_kind(group: Column, kinds: dict[str, str] = SITE_KINDS) -> Column:
+    """The first kind whose pattern is in the group's name; other if none is."""
     g = F.coalesce(group, F.lit(""))
-    return F.when(g.contains("蜘蛛"), "csp").when(g.contains("本地JS"), "js").when(g.contains("网盘"), "pan").when(g == "短剧", "short").when(g.contains("采集站") | g.contains("直连"), "std").otherwise("other")
+    return F.coalesce(*[F.when(g.rlike(pattern), kind) for kind, pattern in kinds.items()], F.lit("other"))
 
 
 def deep_verdict(code: Column) -> Column:

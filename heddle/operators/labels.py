@@ -92,6 +92,24 @@ def guards(df: DataFrame, *, code: str, ok: Column, healthy: Column, least: int
     )
 
 
+def tool_failure(df: DataFrame, *, by: list[str], ok: Column, message: Column, pattern: str) -> DataFrame:
+    """(by, refuse): whether results must not overwrite older ones, since all failed and nine in ten messages blame the tool."""
+    n = F.count(F.lit(1))
+    return df.groupBy(*by).agg(((F.count_if(F.coalesce(ok, F.lit(False))) == 0) & (F.count_if(F.coalesce(message.rlike(pattern), F.lit(False))) * 10 >= n * 9)).alias("refuse"))
+
+
+def may_overwrite(verdicts: DataFrame, *, local: Column, verdict: Column, floor: tuple[int, int], old_exists: bool, force: bool = False) -> bool:
+    """Whether new verdicts may replace old ones: their share among rows that aren't local reaches the floor, or nothing older
+    exists, or it is forced."""
+    n, good = verdicts.where(~local).agg(F.count(F.lit(1)), F.count_if(verdict)).first()
+    return force or not old_exists or good * floor[1] >= n * floor[0]
+
+
+def exempt(path: Column, patterns: list[str]) -> Column:
+    """Whether a JSON path is in a context that only quotes vocabulary, such as audit notes."""
+    return F.coalesce(path.rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(False)) if patterns else F.lit(False)
+
+
 def require(df: DataFrame, least: int, columns: list[str]) -> DataFrame:
     """``df`` itself, or an error if it is too small or lacks a column; run before anything is overwritten."""
     missing = [c for c in columns if c not in df.columns]

@@ -404,6 +404,19 @@ def guard_report(spark: SparkSession, d: str) -> DataFrame:
     return labels.guards(t, code="code", ok=F.coalesce(F.col("health") != "dead", F.lit(False)), healthy=F.coalesce(F.col("health") == "healthy", F.lit(False)))
 
 
+def tool_failure_guard(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "interfaces").where("source is not null")
+    return labels.tool_failure(t, by=["source", "snapshot_date"], ok=F.col("health").isin("healthy", "degraded"), message=F.coalesce("health", F.lit("unknown")), pattern="unknown")
+
+
+def audited_links(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses in JSON fields, without those under an exempted path."""
+    from heddle.sources.documents import json_urls
+
+    found = json_urls(table(spark, d, "sites").where(F.col("ext").rlike(r"^\s*\{")), id="row_id", column="ext")
+    return found.where(~labels.exempt(F.col("json_path"), [r"^\$\.note", r"\.audit\b"])).groupBy("json_path").agg(F.count(F.lit(1)).alias("n"))
+
+
 def fail_limits(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "interfaces").where("key is not null")
     kind = F.when(F.col("level") == "E0", "404").when(F.col("level") == "S0", "timeout").otherwise("5xx")

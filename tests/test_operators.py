@@ -253,3 +253,13 @@ def test_block_pairs(spark, most):
     df = spark.createDataFrame([("k", i, 7) for i in range(7)] + [("l", 1, 1)], "k string, i int, n int")
     got = rows(block_pairs(df, key=["k"], item="i", count="n", most=most))
     assert got == [(a, b) for a in range(7) for b in range(a + 1, 7)]
+
+
+def test_overwrite_guards(spark):
+    df = spark.createDataFrame([("a", False, "tool: x")] * 9 + [("a", None, "other")] + [("b", True, "tool: x")] + [("c", False, None)], "k string, ok boolean, m string")
+    assert rows(labels.tool_failure(df, by=["k"], ok=F.col("ok"), message=F.col("m"), pattern="^tool")) == [("a", True), ("b", False), ("c", False)]
+    v = spark.createDataFrame([(True, False), (False, True), (False, False), (False, False)], "local boolean, good boolean")
+    may = lambda **k: labels.may_overwrite(v, local=F.col("local"), verdict=F.col("good"), floor=(1, 2), **k)
+    assert not may(old_exists=True) and may(old_exists=False) and may(old_exists=True, force=True)
+    p = spark.createDataFrame([("$.audit.x",), ("$.a",), (None,)], "p string")
+    assert [r.e for r in p.select(labels.exempt(F.col("p"), ["audit"]).alias("e")).collect()] == [True, False, False]
