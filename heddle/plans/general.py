@@ -25,7 +25,19 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p5_found": p5_found, "p6_found": p6_found}
 
+_HEAD = "(?:[A-Za-z][A-Za-z0-9+.\\-]*://|\\.\\.?/)"
+_APART = "[\\s,，、;；|｜#\"''“”‘’`]"
+
 SQL = {
+    # The grammar alone, without dictionary: a sign is put before each head that follows a separator, and pieces are trimmed.
+    "p6_found": f"""
+WITH f AS (SELECT 'sites' AS rec_kind, row_id AS rec_id, ext AS v FROM sites UNION ALL SELECT 'lives', live_id, url FROM lives),
+s AS (SELECT rec_kind, rec_id, regexp_replace(v, '^\\s+|\\s+$', '', 'g') AS v FROM f WHERE v IS NOT NULL),
+l AS (SELECT rec_kind, rec_id, CASE WHEN json_valid(v) AND v LIKE '[%' THEN list_filter(list_transform(from_json(v, '["VARCHAR"]'), lambda x: trim(x)), lambda x: regexp_matches(x, '^{_HEAD}'))
+  WHEN json_valid(v) AND v LIKE '{{%' THEN []
+  ELSE list_transform(string_split(regexp_replace(v, '(^|{_APART}|\\$\\$\\$)({_HEAD})', '\\1' || chr(1) || '\\2', 'g'), chr(1))[2:], lambda x: regexp_replace(x, '(?:{_APART}|\\$\\$\\$)+$', '')) END AS items FROM s)
+SELECT rec_kind, rec_id, unnest(range(1, len(items) + 1))::INT AS pos, unnest(items) AS item FROM l WHERE len(items) >= 2
+""",
     "p5_found": """
 WITH r AS (
   SELECT snapshot_date, key, health, api,
