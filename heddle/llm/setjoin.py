@@ -82,18 +82,20 @@ def similar_classes(classes: DataFrame, threshold: float, *, most: int = 100, le
     keys = ordered.select("cls", "size", "type", F.array().cast("array<long>").alias("used"), "toks")
     found: list[DataFrame] = []
     for level in range(1, levels + 1):
-        longer = keys.select("cls", "size", "type", "used", "toks").withColumn("tok", F.explode(F.array_except(prefix(level), F.col("used"))))
-        longer = longer.withColumn("used", F.concat("used", F.array("tok"))).withColumn("key", F.xxhash64("type", "used"))
+        # Only the key travels; sets are fetched again for the holders of hot keys.
+        longer = keys.select("cls", "size", "type", "used", F.explode(F.array_except(prefix(level), F.col("used"))).alias("tok"))
+        longer = longer.select("cls", "size", "type", F.concat("used", F.array("tok")).alias("used")).withColumn("key", F.xxhash64("type", "used"))
         holders = longer.groupBy("key").count().where("count > 1")
         small = holders if level == levels else holders.where(F.col("count") <= most)
         rows = longer.select("cls", "size", "key")
         if level < levels:
             found.append(_pairs(rows.join(small.select("key"), "key"), top, base))
-            keys = durable(longer.join(holders.where(F.col("count") > most), "key").select("cls", "size", "type", "used", "toks", "key", "count"))
+            keys = durable(longer.join(holders.where(F.col("count") > most), "key").select("cls", "size", "type", "used", "key", "count"))
             # Sets so small that a pair may share no more tokens than the key has: a longer key would lose that pair.
             found.append(block_pairs(keys.where(need <= level), key=["key"], item="cls", count="count", most=most, carry=["size"], fit=_sizes_fit(top, base)))
             if keys.isEmpty():
                 break
+            keys = keys.join(ordered.select("cls", "toks"), "cls")
         else:
             found.append(block_pairs(rows.join(small, "key"), key=["key"], item="cls", count="count", most=most, carry=["size"], fit=_sizes_fit(top, base)))
     pairs = found[0]
