@@ -132,7 +132,7 @@ def parse_ranking(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "sites_probe").groupBy(parse_url_norm(F.col("api")).alias("u")).agg(F.min_by(F.struct(status.alias("status"), "ms"), "probe_id").alias("r")).select("u", "r.*")
     s = table(spark, d, "sites").select("row_id", F.when(F.col("type") == 1, 0).otherwise(1).alias("pref"), parse_url_norm(F.col("api")).alias("u")).join(p, "u", "left")
     s = s.select("row_id", grades.mapped(F.col("status"), grades.PARSE_RANK, 2).alias("rank"), F.coalesce(F.nullif("ms", F.lit(0)), F.lit(999999)).alias("ms"), "pref")
-    return s.orderBy("rank", "ms", "pref", "row_id").limit(200)
+    return s.orderBy("rank", "ms", "pref", "row_id")
 
 
 def failure_rollup(spark: SparkSession, d: str) -> DataFrame:
@@ -147,7 +147,7 @@ def folder_bytes(spark: SparkSession, d: str) -> DataFrame:
     """Bytes and files by the first two parts of a path, largest first."""
     t = table(spark, d, "documents").select(F.concat(F.coalesce("lang", F.lit("none")), F.lit("/"), "source", F.lit("/"), "doc_id").alias("path"), "n_chars")
     g = t.groupBy(F.substring_index("path", "/", 2).alias("folder")).agg(F.sum("n_chars").alias("bytes"), F.count(F.lit(1)).alias("files"))
-    return g.orderBy(F.desc("bytes"), "folder").limit(20)
+    return g.orderBy(F.desc("bytes"), "folder")
 
 
 def origin_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -155,10 +155,10 @@ def origin_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def candidate_rank(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates by score, catalogs before others, size and address; the first 100."""
+    """Candidates by score, catalogs before others, size and address."""
     t = table(spark, d, "sites").groupBy("origin").agg(F.count(F.lit(1)).alias("size"), F.count_distinct("type").alias("score"))
     kind = F.when(F.col("origin").endswith("index.json"), 0).otherwise(1)
-    return t.withColumn("kind", kind).orderBy(F.desc("score"), "kind", F.desc("size"), "origin").limit(100)
+    return t.withColumn("kind", kind).orderBy(F.desc("score"), "kind", F.desc("size"), "origin")
 
 
 def day_rotation(spark: SparkSession, d: str) -> DataFrame:
