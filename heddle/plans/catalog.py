@@ -9,7 +9,7 @@ from heddle.functions import grades
 from heddle.functions.names import dated_name
 from heddle.functions.urls import parse_url_norm
 from heddle.operators import catalog, history, joins
-from heddle.runtime import table
+from heddle.runtime import broadcast_if_small, table
 
 
 def site_targets(spark: SparkSession, d: str) -> DataFrame:
@@ -22,8 +22,13 @@ def static_grades(spark: SparkSession, d: str) -> DataFrame:
 
 
 def located_sites(spark: SparkSession, d: str) -> DataFrame:
-    s = table(spark, d, "sites").groupBy("src").agg(F.to_json(F.struct(F.slice(F.array_sort(F.collect_set(F.struct("key", "api"))), 1, 5).alias("sites"))).alias("doc"))
-    return s.select("src", F.size(catalog.locate_sites(F.col("doc"))).alias("n"))
+    """Sites by source, each source a series of JSON documents of about a thousand pairs, so that no task holds a whole source."""
+    s = table(spark, d, "sites").select("src", "key", "api")
+    docs = broadcast_if_small(s.groupBy(F.col("src").alias("__src")).agg(F.ceil(F.count(F.lit(1)) / 1000).alias("docs")))
+    pairs = s.distinct().join(docs, F.col("src").eqNullSafe(F.col("__src"))).withColumn("part", F.pmod(F.xxhash64("key", "api"), "docs"))
+    s = pairs.groupBy("src", "part").agg(F.to_json(F.struct(F.collect_list(F.struct("key", "api")).alias("sites"))).alias("doc"))
+    n = F.coalesce(F.size(catalog.locate_sites(F.col("doc"))), F.raise_error(F.lit("a document of sites cannot be read")))
+    return s.groupBy("src").agg(F.sum(n).cast("int").alias("n"))
 
 
 def preferred_blobs(spark: SparkSession, d: str) -> DataFrame:

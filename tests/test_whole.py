@@ -24,3 +24,9 @@ def test_rankings_and_folders_have_no_cap(spark, tmp_path):
     assert sorted(ranked) == list(range(250)) and ranked[0] == 0  # probe 0 is ok and the fastest
     assert [r.folder for r in plans.folder_bytes(spark, d).collect()] == [f"zh/s{i:02}" for i in range(29, -1, -1)]
     assert [r.origin for r in plans.candidate_rank(spark, d).collect()] == [f"o{i:03}" for i in range(250)]
+
+
+def test_located_sites_counts_every_pair_of_a_source(spark, tmp_path):
+    pairs = [(s, f"k{i}", f"https://{i}.example/") for s, n in (("a", 2500), ("b", 3), (None, 7)) for i in range(n)]
+    d = save(spark, tmp_path, sites=(pairs + pairs[:40] + [("b", None, None)], "src string, key string, api string"))
+    assert {r.src: r.n for r in plans.located_sites(spark, d).collect()} == {"a": 2500, "b": 4, None: 7}
