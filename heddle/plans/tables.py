@@ -413,7 +413,7 @@ def audited_links(spark: SparkSession, d: str) -> DataFrame:
     """Addresses in JSON fields, without those under an exempted path."""
     from heddle.sources.documents import json_urls
 
-    found = json_urls(table(spark, d, "sites").where(F.col("ext").rlike(r"^\s*\{")), id="row_id", column="ext")
+    found = json_urls(table(spark, d, "sites"), id="row_id", column="ext")
     return found.where(~labels.exempt(F.col("json_path"), [r"^\$\.note", r"\.audit\b"])).groupBy("json_path").agg(F.count(F.lit(1)).alias("n"))
 
 

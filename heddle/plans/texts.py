@@ -45,7 +45,7 @@ def channel_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_references(spark: SparkSession, d: str) -> DataFrame:
-    return documents.json_urls(table(spark, d, "sites").where(F.col("ext").rlike(r"^\s*\{")), id="row_id", column="ext")
+    return documents.json_urls(table(spark, d, "sites"), id="row_id", column="ext")
 
 
 QUERIES = {f.__name__: f for f in (header_carry, playlist_channels, playlist_urls, channel_merge, json_references)}

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from heddle.plans import catalog as plans
+from heddle.plans import tables as table_plans
+from heddle.plans import texts as text_plans
 
 
 def save(spark, folder, **tables):
@@ -30,3 +32,11 @@ def test_located_sites_counts_every_pair_of_a_source(spark, tmp_path):
     pairs = [(s, f"k{i}", f"https://{i}.example/") for s, n in (("a", 2500), ("b", 3), (None, 7)) for i in range(n)]
     d = save(spark, tmp_path, sites=(pairs + pairs[:40] + [("b", None, None)], "src string, key string, api string"))
     assert {r.src: r.n for r in plans.located_sites(spark, d).collect()} == {"a": 2500, "b": 4, None: 7}
+
+
+def test_links_come_from_arrays_and_nested_documents(spark, tmp_path):
+    texts = ['["https://a.example/1", {"x": ["http://b.example/2"]}]', '{"u": {"v": "https://c.example/3"}}', '"https://d.example/4"', "https://no.example/json", "[broken", None]
+    d = save(spark, tmp_path, sites=(list(enumerate(texts)), "row_id long, ext string"))
+    want = [(0, "$[0]", "https://a.example/1"), (0, "$[1].x[0]", "http://b.example/2"), (1, "$.u.v", "https://c.example/3"), (2, "$", "https://d.example/4")]
+    assert sorted(map(tuple, text_plans.json_references(spark, d).collect())) == want
+    assert sorted(map(tuple, table_plans.audited_links(spark, d).collect())) == [(p, 1) for p in sorted(p for _, p, _ in want)]
