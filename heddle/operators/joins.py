@@ -59,14 +59,35 @@ def prefix_match(df: DataFrame, ref: DataFrame, *, left: str, right: str, length
     """
     r = ref.select(F.col(right).alias("__r")).where(F.length("__r") >= length).distinct()
     le = df.select(F.col(left).alias("__l")).where(F.col(left).isNotNull()).distinct()
-    cuts = lambda d, c: F.array(*[F.lit(n) for n in sorted(x[0] for x in d.select(F.length(c)).distinct().limit(10_000).collect())] or [F.lit(0)])
-    prefixes = lambda c, at: F.explode(F.transform(F.filter(at, lambda n: n <= F.length(c)), lambda n: F.substr(F.col(c), F.lit(1), n)))
-    down = le.select("__l", prefixes("__l", cuts(r, "__r")).alias("__r")).join(r, "__r").select("__l", "__r")
-    up = r.select("__r", prefixes("__r", cuts(le, "__l")).alias("__l")).join(le, "__l").select("__l", "__r")
+    down = _prefixes(le, "__l", r, "__r").join(r, "__r").select("__l", "__r")
+    up = _prefixes(r, "__r", le, "__l").join(le, "__l").select("__l", "__r")
     best = down.unionByName(up).groupBy("__l").agg(F.min("__r").alias(name))
     return df.join(best, F.col(left) == F.col("__l"), "left").drop("__l")
 
 
+def _prefixes(df: DataFrame, c: str, other: DataFrame, name: str) -> DataFrame:
+    """(c, name): the prefixes of ``c`` of each length that occurs in column ``name`` of ``other``.
+
+    The lengths, no more than the longest value has signs, come as one row.
+    """
+    sizes = other.select(F.length(name).alias("__n")).agg(F.collect_set("__n").alias("__at"))
+    cuts = df.crossJoin(F.broadcast(sizes)).select(c, F.explode(F.filter("__at", lambda n: n <= F.length(c))).alias("__n"))
+    return cuts.select(c, F.substr(F.col(c), F.lit(1), F.col("__n")).alias(name))
+
+
+def cascade_match(df: DataFrame, ref: DataFrame, *, left: str, right: str, length: int, name: str) -> DataFrame:
+    """Adds the value of ``right`` that equals ``left``, else the least with its basename, else the least by :func:`prefix_match`.
+
+    ``length`` holds for the prefixes only. A value that ends with a slash has no basename.
+    """
+    base = lambda c: F.nullif(F.substring_index(c, "/", -1), F.lit(""))
+    r = ref.select(F.col(right).alias("__right"), base(F.col(right)).alias("__base")).where(F.col("__right").isNotNull()).distinct()
+    near = first_match(df, r, [(F.col(left), "__right"), (base(F.col(left)), "__base")], "__right", "__right", "__near")
+    rest = near.withColumn("__rest", F.when(F.col("__near").isNull(), F.col(left)))
+    far = prefix_match(rest, r, left="__rest", right="__right", length=length, name="__far")
+    return far.withColumn(name, F.coalesce("__near", "__far")).drop("__near", "__rest", "__far")
+
+
 def all_match(df: DataFrame, *, group: str, matched: Column) -> DataFrame:
     """(group, all_matched): whether every row of a group matches; a null counts as no."""
     return df.groupBy(group).agg(F.bool_and(F.coalesce(matched, F.lit(False))).alias("all_matched"))

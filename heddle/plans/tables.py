@@ -68,7 +68,7 @@ def or_match_first(spark: SparkSession, d: str) -> DataFrame:
 def cascade_match(spark: SparkSession, d: str) -> DataFrame:
     jars = table(spark, d, "sites").where("jar <> ''").select("jar").distinct()
     ref = table(spark, d, "sites").where("jar <> ''").select(F.regexp_extract("jar", r"^([^;]*)", 1).alias("file")).distinct()
-    return joins.prefix_match(jars, ref, left="jar", right="file", length=6, name="file")
+    return joins.cascade_match(jars, ref, left="jar", right="file", length=6, name="file")
 
 
 def forall_declared(spark: SparkSession, d: str) -> DataFrame:

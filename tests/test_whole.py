@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from heddle.operators import joins
 from heddle.plans import catalog as plans
 from heddle.plans import tables as table_plans
 from heddle.plans import texts as text_plans
@@ -40,3 +41,16 @@ def test_links_come_from_arrays_and_nested_documents(spark, tmp_path):
     want = [(0, "$[0]", "https://a.example/1"), (0, "$[1].x[0]", "http://b.example/2"), (1, "$.u.v", "https://c.example/3"), (2, "$", "https://d.example/4")]
     assert sorted(map(tuple, text_plans.json_references(spark, d).collect())) == want
     assert sorted(map(tuple, table_plans.audited_links(spark, d).collect())) == [(p, 1) for p in sorted(p for _, p, _ in want)]
+
+
+def test_cascade_is_exact_then_basename_then_prefix(spark):
+    left = spark.createDataFrame([(x,) for x in ("deps/ab.jar", "old/moved.jar", "x.js", "deps/long/na", "none.txt", "end/", None)], "l string")
+    right = spark.createDataFrame([(x,) for x in ("deps/ab", "deps/ab.jar", "new/moved.jar", "newer/moved.jar", "old/mo", "x.js", "deps/long/name.py", "other/", "none")], "f string")
+    got = {r.l: r.file for r in joins.cascade_match(left, right, left="l", right="f", length=6, name="file").collect()}
+    assert got == {"deps/ab.jar": "deps/ab.jar", "old/moved.jar": "new/moved.jar", "x.js": "x.js", "deps/long/na": "deps/long/name.py", "none.txt": None, "end/": None, None: None}
+
+
+def test_prefixes_of_every_length_are_tried(spark):
+    other = spark.range(1, 10_051).select(F.repeat(F.lit("x"), F.col("id").cast("int")).alias("r"))
+    left = spark.range(1).select(F.repeat(F.lit("y"), F.lit(10_100)).alias("l"))
+    assert joins._prefixes(left, "l", other, "r").count() == 10_050
