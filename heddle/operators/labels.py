@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 def label(df: DataFrame, vocab: DataFrame, *, id: str, text: Column, allow: DataFrame | None = None, most: int = 200_000) -> DataFrame:
     """(id, reason): the reason of the first keyword, by priority, that a text contains, unless an allowed word is in it.
 
-    ``vocab`` has keyword, reason and priority, at most ``most`` rows. A short list is folded into one expression, a long one
-    into an automaton that scans each text once; there is no join, so nothing is shuffled.
+    ``vocab`` has keyword, reason and priority, ``allow`` has keyword; at most ``most`` rows each, more are an error. A short
+    list is folded into one expression, a long one into an automaton that scans each text once; there is no join, so nothing
+    is shuffled.
     """
     words = vocab.select(F.lower("keyword").alias("keyword"), "reason", "priority").where("keyword <> ''").orderBy("priority", "keyword").limit(most + 1).collect()
     if len(words) > most:
@@ -25,8 +26,14 @@ def label(df: DataFrame, vocab: DataFrame, *, id: str, text: Column, allow: Data
             case = F.when(t.contains(w.keyword), F.lit(w.reason)).otherwise(case)
         found = df.select(id, case.alias("reason"), t.alias("__t")).where("reason is not null")
     if allow is not None:
-        for a in allow.select("keyword").limit(500).collect():
-            found = found.where(~F.col("__t").contains(a.keyword.lower()))
+        allowed = [a.keyword for a in allow.select(F.lower("keyword").alias("keyword")).where("keyword <> ''").distinct().limit(most + 1).collect()]
+        if len(allowed) > most:
+            raise ValueError(f"more than {most} allowed words; split the list")
+        if len(allowed) > 500:
+            found = found.where(_first_keyword([(w, "") for w in allowed])(F.col("__t")).isNull())
+        else:
+            for w in allowed:
+                found = found.where(~F.col("__t").contains(w))
     return found.select(id, "reason")
 
 

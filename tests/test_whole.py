@@ -1,8 +1,9 @@
 """Queries and operators return every row: no cap, no sample, no lost part."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from heddle.operators import joins
+from heddle.operators import joins, labels
 from heddle.plans import catalog as plans
 from heddle.plans import tables as table_plans
 from heddle.plans import texts as text_plans
@@ -54,3 +55,12 @@ def test_prefixes_of_every_length_are_tried(spark):
     other = spark.range(1, 10_051).select(F.repeat(F.lit("x"), F.col("id").cast("int")).alias("r"))
     left = spark.range(1).select(F.repeat(F.lit("y"), F.lit(10_100)).alias("l"))
     assert joins._prefixes(left, "l", other, "r").count() == 10_050
+
+
+def test_every_allowed_word_protects(spark):
+    vocab = spark.createDataFrame([("bad", "B", 1)], "keyword string, reason string, priority int")
+    allow = spark.range(600).select(F.format_string("OK%04d", "id").alias("keyword"))
+    df = spark.range(601).select("id", F.format_string("bad ok%04d", "id").alias("t"))
+    assert [tuple(r) for r in labels.label(df, vocab, id="id", text=F.col("t"), allow=allow).collect()] == [(600, "B")]
+    with pytest.raises(ValueError):
+        labels.label(df, vocab, id="id", text=F.col("t"), allow=allow, most=599)
