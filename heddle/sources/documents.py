@@ -6,6 +6,7 @@ import base64
 import gzip
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import pandas as pd
@@ -218,3 +219,52 @@ def archive_entries(df: DataFrame, *, path: str, content: str) -> DataFrame:
             yield pd.DataFrame({"path": b["path"], "error": [e for e, _ in got], "entries": [n for _, n in got]})
 
     return df.select(F.col(path).alias("path"), F.col(content).alias("c")).mapInPandas(run, "path string, error string, entries array<string>")
+
+
+def _dex_classes(b: bytes) -> set[str]:
+    """The names, without their packages, of the classes that a .dex file defines."""
+    if b[:4] != b"dex\n":
+        raise ValueError("not a dex file")
+    n_strings, strings_at, n_types, types_at = struct.unpack_from("<4I", b, 0x38)
+    n_classes, classes_at = struct.unpack_from("<2I", b, 0x60)
+    strings, types = struct.unpack_from(f"<{n_strings}I", b, strings_at), struct.unpack_from(f"<{n_types}I", b, types_at)
+    names = set()
+    for i in range(n_classes):
+        at = strings[types[struct.unpack_from("<I", b, classes_at + 32 * i)[0]]]
+        while b[at] & 0x80:  # the length before the string, seven bits a byte
+            at += 1
+        m = re.fullmatch("L([^']+);", b[at + 1 : b.index(0, at + 1)].decode("utf-8", "replace"))
+        if m:
+            names.add(m.group(1).split("/")[-1])
+    return names
+
+
+def dex_classes(df: DataFrame, *, path: str, content: str) -> DataFrame:
+    """(path, err, classes): the classes in the .dex entries of a zip archive; if none can be read, an error and a null list,
+    never an empty one."""
+    import io
+    import zipfile
+    import zlib
+
+    def one(b: bytes | None) -> tuple[str | None, list[str] | None]:
+        try:
+            with zipfile.ZipFile(io.BytesIO(b or b"")) as z:
+                dexes = [z.read(n) for n in z.namelist() if n.endswith(".dex")]
+        except (zipfile.BadZipFile, zlib.error, RuntimeError, ValueError, OSError, EOFError) as e:
+            return f"zip:{str(e)[:100]}", None
+        if not dexes:
+            return "no-dex-entry", None
+        found = set()
+        for d in dexes:
+            try:
+                found |= _dex_classes(d)
+            except (struct.error, IndexError, ValueError):
+                continue
+        return (None, sorted(found)) if found else ("dex-parsed-nothing", None)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [one(x) for x in b["c"]]
+            yield pd.DataFrame({"path": b["path"], "err": [e for e, _ in got], "classes": [n for _, n in got]})
+
+    return df.select(F.col(path).alias("path"), F.col(content).alias("c")).mapInPandas(run, "path string, err string, classes array<string>")

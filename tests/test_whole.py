@@ -1,5 +1,9 @@
 """Queries and operators return every row: no cap, no sample, no lost part."""
 
+import io
+import struct
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +11,7 @@ from heddle.operators import joins, labels
 from heddle.plans import catalog as plans
 from heddle.plans import tables as table_plans
 from heddle.plans import texts as text_plans
+from heddle.sources import documents
 
 
 def save(spark, folder, **tables):
@@ -64,3 +69,32 @@ def test_every_allowed_word_protects(spark):
     assert [tuple(r) for r in labels.label(df, vocab, id="id", text=F.col("t"), allow=allow).collect()] == [(600, "B")]
     with pytest.raises(ValueError):
         labels.label(df, vocab, id="id", text=F.col("t"), allow=allow, most=599)
+
+
+def _dex(*names: str) -> bytes:
+    n, head = len(names), 0x70
+    data, at, offsets = b"", head + 40 * n, []
+    for x in names:
+        offsets.append(at + len(data))
+        data += bytes([len(x)]) + x.encode() + b"\0"
+    b = bytearray(b"dex\n035\0".ljust(head, b"\0"))
+    struct.pack_into("<4I", b, 0x38, n, head, n, head + 4 * n)
+    struct.pack_into("<2I", b, 0x60, n, head + 8 * n)
+    classes = b"".join(struct.pack("<8I", i, *[0] * 7) for i in range(n))
+    return bytes(b) + struct.pack(f"<{n}I", *offsets) + struct.pack(f"<{n}I", *range(n)) + classes + data
+
+
+def _zip(**entries: bytes) -> bytes:
+    with zipfile.ZipFile(out := io.BytesIO(), "w") as z:
+        for name, content in entries.items():
+            z.writestr(name.replace("_", "."), content)
+    return out.getvalue()
+
+
+def test_dex_classes_or_an_error(spark):
+    two = _zip(classes_dex=_dex("Lcom/x/Alpha;", "LBeta;"), classes2_dex=_dex("Lcom/y/Gamma;"), broken_dex=b"dex\n")
+    data = [("two", two), ("none", _zip(a_txt=b"x")), ("bad", _zip(classes_dex=_dex("Lcom/x/Alpha;")[:0x78])), ("empty", _zip(classes_dex=_dex())), ("nozip", b"q"), ("null", None)]
+    got = {r.path: (r.err, r.classes) for r in documents.dex_classes(spark.createDataFrame(data, "p string, c binary"), path="p", content="c").collect()}
+    assert got["two"] == (None, ["Alpha", "Beta", "Gamma"]) and got["none"] == ("no-dex-entry", None)
+    assert got["bad"] == got["empty"] == ("dex-parsed-nothing", None)
+    assert all(got[k][0].startswith("zip:") and got[k][1] is None for k in ("nozip", "null"))
