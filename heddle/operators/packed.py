@@ -43,8 +43,9 @@ def _pieces(body: str) -> list[str]:
 def known_values(df: DataFrame, column: str, most: int = 10_000) -> tuple[list[str], list[str]]:
     """The masks of tails and the fillers seen in fields of ``column`` that hold one value.
 
-    Counted over all rows, with partial aggregation. At most ``most`` of each, the most frequent, go to the driver; a piece
-    that is in neither dictionary falls back to the grammar in :func:`cover`, so the bound costs no result.
+    Counted over all rows, with partial aggregation. Only those of at most 200 signs, and the ``most`` most frequent of each,
+    go to the driver. A piece in neither dictionary falls back to the grammar in :func:`cover`, which can differ from what
+    the dictionary would say: an unknown filler is kept with the address before it, an unknown tail with a space is cut off.
     """
     v = F.trim(F.col(column))
     heads = F.regexp_count(v, F.lit(_J_HEAD))
@@ -52,7 +53,7 @@ def known_values(df: DataFrame, column: str, most: int = 10_000) -> tuple[list[s
     tail = F.regexp_extract("v", rf"^[{_QUOTES}]?{_HEAD}[^{_BREAKS}$]*((?:[{_BREAKS}]|\$\$\$).*)$", 1)
     mask = F.regexp_replace(F.regexp_replace(F.regexp_replace(tail, "[0-9a-fA-F]{16,}", "h"), r"(?<==)[^=&|;,#\s]+", "v"), r"\d+", "0")
     kinds = one.select(F.when(F.col("n") == 1, F.struct(F.lit("tail").alias("k"), mask.alias("t"))).otherwise(F.struct(F.lit("filler").alias("k"), F.col("v").alias("t"))).alias("s"))
-    counts = kinds.select("s.*").where((F.col("t") != "") & (F.length("t") <= 200)).groupBy("k", "t").count().where("count > 1")
+    counts = kinds.select("s.*").where((F.col("t") != "") & (F.length("t") <= 200)).groupBy("k", "t").count()
     top = counts.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("count"), "t"))).where(F.col("r") <= most)
     got: dict[str, list[str]] = {"tail": [], "filler": []}
     for r in top.select("k", "t").collect():

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from heddle.operators import joins, labels
+from heddle.operators import joins, labels, packed
 from heddle.plans import catalog as plans
 from heddle.plans import tables as table_plans
 from heddle.plans import texts as text_plans
@@ -98,3 +98,10 @@ def test_dex_classes_or_an_error(spark):
     assert got["two"] == (None, ["Alpha", "Beta", "Gamma"]) and got["none"] == ("no-dex-entry", None)
     assert got["bad"] == got["empty"] == ("dex-parsed-nothing", None)
     assert all(got[k][0].startswith("zip:") and got[k][1] is None for k in ("nozip", "null"))
+
+
+def test_a_filler_seen_once_splits_as_one_seen_often(spark):
+    a, b = "https://a.example/x.m3u8", "https://b.example/y.m3u8"
+    for times in (1, 3):
+        df = spark.createDataFrame([(0, f"{a}|rarenote|{b}")] + [(i + 1, "rarenote") for i in range(times)], "id long, v string")
+        assert [r["item"] for r in packed.split_packed(df, id="id", column="v").orderBy("pos").collect()] == [a, b]
