@@ -194,7 +194,7 @@ def _sql() -> dict[str, str]:
     return {
         "site_targets": f"WITH t AS (SELECT row_id, {u} AS u, ({links('ext')})[1] AS e, ({links('api')})[1] AS a FROM sites) SELECT row_id, coalesce(e, a) AS target, CASE WHEN e IS NOT NULL THEN 'ext' WHEN a IS NOT NULL THEN 'api' WHEN starts_with(u, './') THEN 'no trusted address in rule' ELSE 'no address' END AS source FROM t",
         "static_grades": "SELECT CASE WHEN api IS NULL THEN 'P0' WHEN NOT coalesce(l1_ok, false) THEN 'P1' WHEN coalesce(len(names), 0) < 3 THEN 'P2' WHEN NOT starts_with(api, 'http') THEN 'P3' ELSE 'P4' END AS grade, count(*) AS n FROM sites_probe GROUP BY 1",
-        "located_sites": "SELECT src, least(count(*), 5)::INT AS n FROM (SELECT DISTINCT src, key, api FROM sites) GROUP BY src",
+        "located_sites": "SELECT src, count(*)::INT AS n FROM (SELECT DISTINCT src, key, api FROM sites) GROUP BY src",
         "preferred_blobs": "SELECT source, path, n::INT AS n FROM (SELECT source, doc_id || '.json' AS path, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id || '.json') AS n FROM documents WHERE doc_id % 3 <> 0 AND n_chars BETWEEN 500 AND 12582912) WHERE n <= 8",
         "alternate_prefixes": """WITH p AS (SELECT list(DISTINCT 'https://' || lower(replace(r_name, ' ', '-')) || '.example/' ORDER BY 'https://' || lower(replace(r_name, ' ', '-')) || '.example/') AS l FROM region), t AS (SELECT DISTINCT url FROM lives WHERE health = 'dead' AND url LIKE 'http%' AND channels > 5)
           SELECT url, unnest(list_transform(list_filter(l, lambda x: NOT starts_with(url, x))[1:3], lambda x: x || regexp_replace(url, '^https?://[^/]+/(https?://)', '\\1'))) AS candidate FROM t, p""",
@@ -221,12 +221,12 @@ def _sql() -> dict[str, str]:
           SELECT 0 AS layer, 'raw' AS layer_name, count(*) AS n FROM sites UNION ALL SELECT 1, 'decay', count(*) FROM l UNION ALL SELECT 2, 'key', count(*) FROM k UNION ALL SELECT 3, 'fingerprint', count(*) FROM f""",
         "annotated_changes": f"""SELECT src, count(*) FILTER ({_NK} <> coalesce(key, '') OR {NORMAL_NAME} <> coalesce(name, '')) AS changed, count(DISTINCT lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#]*)', 1))) AS hosts FROM sites GROUP BY 1""",
         "parse_ranking": f"""WITH p AS (SELECT {end} AS u, arg_min({{'s': ['ok', 'ad_warn', 'unreachable', 'placeholder'][probe_id % 4 + 1], 'ms': ms}}, probe_id) AS r FROM sites_probe GROUP BY 1), s AS (SELECT row_id, CASE WHEN type = 1 THEN 0 ELSE 1 END AS pref, {end} AS u FROM sites)
-          SELECT row_id, CASE r.s WHEN 'ok' THEN 0 WHEN 'placeholder' THEN 1 WHEN 'ad_warn' THEN 3 WHEN 'unreachable' THEN 4 ELSE 2 END AS rank, coalesce(nullif(r.ms, 0), 999999) AS ms, pref FROM s LEFT JOIN p USING (u) ORDER BY rank, ms, pref, row_id LIMIT 200""",
+          SELECT row_id, CASE r.s WHEN 'ok' THEN 0 WHEN 'placeholder' THEN 1 WHEN 'ad_warn' THEN 3 WHEN 'unreachable' THEN 4 ELSE 2 END AS rank, coalesce(nullif(r.ms, 0), 999999) AS ms, pref FROM s LEFT JOIN p USING (u) ORDER BY rank, ms, pref, row_id""",
         "failure_rollup": """WITH f AS (SELECT probe_id, 'l1' AS stage FROM sites_probe WHERE NOT coalesce(l1_ok, false) UNION ALL SELECT probe_id, 'l2' FROM sites_probe WHERE coalesce(len(names), 0) = 0 UNION ALL SELECT probe_id, 'l3' FROM sites_probe WHERE coalesce(total, 0) = 0)
           SELECT stage, count(*) AS n, array_to_string(list_sort(list(probe_id))[1:3], ',') AS sample FROM f GROUP BY 1""",
-        "folder_bytes": "SELECT coalesce(lang, 'none') || '/' || source AS folder, sum(n_chars)::BIGINT AS bytes, count(*) AS files FROM documents GROUP BY 1 ORDER BY bytes DESC, folder LIMIT 20",
+        "folder_bytes": "SELECT coalesce(lang, 'none') || '/' || source AS folder, sum(n_chars)::BIGINT AS bytes, count(*) AS files FROM documents GROUP BY 1 ORDER BY bytes DESC, folder",
         "origin_counts": "SELECT origin, count(*) AS n, count(DISTINCT key) AS n_keys FROM sites GROUP BY 1",
-        "candidate_rank": "SELECT origin, count(*) AS size, count(DISTINCT type) AS score, CASE WHEN ends_with(origin, 'index.json') THEN 0 ELSE 1 END AS kind FROM sites GROUP BY 1 ORDER BY score DESC, kind, size DESC, origin LIMIT 100",
+        "candidate_rank": "SELECT origin, count(*) AS size, count(DISTINCT type) AS score, CASE WHEN ends_with(origin, 'index.json') THEN 0 ELSE 1 END AS kind FROM sites GROUP BY 1 ORDER BY score DESC, kind, size DESC, origin",
         "day_rotation": "WITH n AS (SELECT count(*) AS n FROM supplier), r AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS r FROM supplier) SELECT s_suppkey FROM r, n WHERE CASE WHEN n <= 40 THEN r <= 39 ELSE r // 40 = 3 % ((n + 39) // 40) END",
         "public_filter": "SELECT row_id FROM sites WHERE NOT regexp_matches(coalesce(api, ''), '://[^/]*\\.invalid(/|$)') AND NOT regexp_matches(coalesce(ext, ''), '://[^/]*\\.invalid(/|$)')",
     }

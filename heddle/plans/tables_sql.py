@@ -134,6 +134,7 @@ def make_sql(b: str, a: str, nk: str, as_of: str) -> dict[str, str]:
         "guard_report": """WITH t AS (SELECT health, CASE WHEN level = 'E0' THEN 0 WHEN level IS NULL THEN 403 ELSE 200 END AS c FROM interfaces) SELECT count(*) >= 100 AND count(*) FILTER (c = 0) * 10 > count(*) * 9 AND count(*) FILTER (coalesce(health <> 'dead', false)) = 0 AS network_down,
           count(*) FILTER (health = 'healthy') * 20 < count(*) AS too_few_healthy, count(*) FILTER (c NOT IN (0, 400, 403, 429)) * 2 < count(*) AS verdicts_too_few FROM t""",
         "tool_failure_guard": "SELECT source, snapshot_date, count(*) FILTER (health IN ('healthy', 'degraded')) = 0 AND count(*) FILTER (coalesce(health, 'unknown') = 'unknown') * 10 >= count(*) * 9 AS refuse FROM interfaces WHERE source IS NOT NULL GROUP BY 1, 2",
-        "audited_links": "SELECT '$.' || k AS json_path, count(*) AS n FROM (SELECT ext, unnest(json_keys(ext)) AS k FROM sites WHERE regexp_matches(ext, '^\\s*\\{')) WHERE regexp_matches(json_extract_string(ext, '$.' || k), '^https?://') GROUP BY 1",
+        "audited_links": """SELECT replace(fullkey, '"', '') AS json_path, count(*) AS n FROM (SELECT ext FROM sites WHERE json_valid(ext)) s, LATERAL (SELECT * FROM json_tree(s.ext)) t
+          WHERE t.type = 'VARCHAR' AND regexp_matches(atom->>'$', '^https?://') AND NOT regexp_matches(replace(fullkey, '"', ''), '^\\$\\.note|\\.audit\\b') GROUP BY 1""",
         "fail_limits": "SELECT snapshot_date, count(*) AS n FROM interfaces WHERE key IS NOT NULL AND fail_streak >= CASE WHEN level = 'E0' THEN 2 WHEN level = 'S0' THEN 5 ELSE 3 END GROUP BY 1",
     }

@@ -70,5 +70,5 @@ SQL = {
     "playlist_urls": f"WITH {_CHANNELS} SELECT url, min(live_id) AS first_id FROM ch GROUP BY 1",
     "channel_merge": f"""WITH {_CHANNELS}, f AS (SELECT lower(name) AS key, url, min((live_id, pos)) AS o, arg_min(name, (live_id, pos)) AS n FROM ch GROUP BY 1, 2)
       SELECT key, arg_min(n, o) AS name, count(*)::INT AS n, array_to_string(list(url ORDER BY o), chr(10)) AS urls FROM f GROUP BY 1""",
-    "json_references": """SELECT row_id AS id, '$.' || k AS json_path, json_extract_string(ext, '$.' || k) AS url FROM (SELECT row_id, ext, unnest(json_keys(ext)) AS k FROM sites WHERE regexp_matches(ext, '^\\s*\\{')) WHERE regexp_matches(json_extract_string(ext, '$.' || k), '^https?://')""",
+    "json_references": """SELECT row_id AS id, replace(fullkey, '"', '') AS json_path, atom->>'$' AS url FROM (SELECT row_id, ext FROM sites WHERE json_valid(ext)) s, LATERAL (SELECT * FROM json_tree(s.ext)) t WHERE t.type = 'VARCHAR' AND regexp_matches(atom->>'$', '^https?://')""",
 }
