@@ -1,9 +1,11 @@
 """Pages made of repeated keywords, link lists or tag lists rather than sentences.
 
-Each line is cut into pieces at sentence ends and each piece is reduced to a shape: what its tokens are (links, tags,
-label:value pairs, words by count and capitals, runs of ideographs by length) and how they are separated. Pieces with the
-small words that hold sentences together are sentences. A page is flagged if more than half of its characters are in pieces
-whose shapes are lists by themselves or are shared by many pieces of the page.
+Lines are cut into pieces at sentence ends, and each piece is reduced to a shape: its words by number and capitals, the
+separators between them, its links, tags and label:value pairs, and whether it ends like a sentence. Nothing depends on a
+language: words are runs of letters of any script, and in scripts that put no space between words, stretches of signs stand for
+words. Pieces of one shape are grouped, and a page is flagged if a few shapes that no sentence has hold more than half of
+its characters. Keywords dressed up as sentences have a sentence's shape; they are known by repeating their word pairs
+inside a sentence as well as from one sentence to the next.
 """
 
 from __future__ import annotations
@@ -17,144 +19,198 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Small words without which English sentences can't be built.
-_SMALL_WORDS = frozenset(
-    "a about after all an and any are as at be been but by can did do does for from had has have he her his how i if in is it its just more my no not of on or our out "
-    "she so than that the their them then there these they this to up was we were what when where which while who will with would you your".split()
-)
-#: Characters that do the same in Chinese.
-_SMALL_SIGNS = "的了是有和把被从与到不这那只也都就为及或将对很没又再会要请让给向着过吗呢吧之其以而但因所如该每哪谁我你他她它们"
+#: Scripts without spaces between words, by their blocks: first alphabets (Thai to Tibetan, Myanmar, Khmer), in which about
+#: five signs make a word, then kana, bopomofo and ideographs, in which two do.
+_ALPHABETS = "฀-࿿က-႟ក-៿"
+_UNSPACED = "฀-࿿က-႟ក-៿ぁ-ヿㄅ-ㄯ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
+#: Signs inside words that count as no letters: combining accents and points, and the vowel signs of Indic scripts.
+_MARKS = "̀-֑ͯ-ֽؐ-ًؚ-ٰٟऀ-ॣ०-෿"
+#: What ends a sentence; the first kind needs white space after it.
+_STOPS, _WIDE_STOPS = ".!?…؟۔।॥։።", "。！？｡။។"
 
 _LINK = re.compile(r"(?:[A-Za-z][A-Za-z0-9+.\-]*://|www\.)[^\s<>\"'，。、]+")
 _TAG = re.compile(r"#[^\s#,，、;；|]+")
 _PAIR = re.compile(r"[^\s:：,，、;；|#]{1,12}[:：](?!//)[^\s:：,，、;；|#]{1,20}")
-_MARK = re.compile(r"<[^<>\n]{1,80}>|&[a-z]+;")
+_MARKUP = re.compile(r"<[^<>\n]{1,80}>|&[a-z]+;")
 _BULLET = re.compile(r"^(?:[\s>*•+\-–—]|\d{1,4}[.)、:：]\s?)+")
-_CUT = re.compile(r"(?<=[。！？])|(?<=[.!?…])\s+")
-_ENDS = re.compile(r"[.!?。！？…][\"'”’」』)）\]*_]*$")
-_FIELDS = re.compile(r"[,，、;；|｜·•/\t]+|\s{2,}|\s[-–—]\s")
-_WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-_IDEO = re.compile(r"[㐀-鿿豈-﫿]+")
-_SIGNS = re.compile(f"[{_SMALL_SIGNS}]|在(?!线)")
-_LATIN = re.compile(r"[A-Za-zÀ-ɏͰ-ӿ]+(?:['’][a-z]+)?")
+_QUOTED = re.compile(r"^[\s>]*")
+_CUT = re.compile(rf"(?<=[{_WIDE_STOPS}])|(?<=[{_STOPS}])\s+")
+_ENDS = re.compile(rf"[{_STOPS}{_WIDE_STOPS}][\"'”’」』»)）\]*_]*$")
+_FIELDS = re.compile(r"[,，、،;；؛|｜·•/\t]+|\s[-–—]\s")
+_ASCII_WORD = re.compile(r"[A-Za-z0-9]+(?:'[A-Za-z]+)*")
+_WORD = re.compile(rf"[{_UNSPACED}]+|(?:[^\W_{_UNSPACED}]|[{_MARKS}])+(?:['’][^\W_{_UNSPACED}]+)*")
+_UNSPACED_AT = re.compile(f"[{_UNSPACED}]")
+_ALPHABET_AT = re.compile(f"[{_ALPHABETS}]")
 
 
 @dataclass(frozen=True)
 class ShapeConfig:
-    """``share``: of the characters, above which a page is flagged. ``repeats``: pieces of one short shape that make a list.
-    ``fields``: short fields that make one piece a list. ``run``: ideographs in a row that no sentence has without small signs. A sentence is stuffed if ``stuffed`` of its units occur
-    ``again`` times in it and the ``around`` sentences on either side, and if stuffed sentences repeat a share of ``within``
-    of their units inside them; texts with fewer than ``least_units`` never are."""
+    """``share``: of the characters, above which a page is flagged, held by at most ``few`` shapes. ``repeats``: pieces of one
+    short shape that make a list; a piece is short up to ``short`` words. ``fields``: fields between separators that make a
+    list if they have at most ``field_words`` words on average; twice as many if the piece ends like a sentence.
+    ``run``: words from which a piece that repeats a share of ``again`` of its word pairs is a list. ``wrapped``: characters of
+    a line that the next one may continue. Sentences are stuffed if they repeat a share of ``within`` of their word pairs
+    inside themselves and ``around`` of them occur ``times`` times in the ``near`` sentences on either side."""
 
     share: float = 0.5
+    few: int = 12
     repeats: int = 4
+    short: float = 8
     fields: int = 4
-    run: int = 24
-    word_density: float = 0.1
-    sign_density: float = 0.025
-    around: int = 3
-    again: int = 3
-    stuffed: float = 0.4
-    within: float = 0.12
-    least_units: int = 12
-
-
-def shape_of(piece: str, c: ShapeConfig = ShapeConfig()) -> tuple[str, str, list[str]]:
-    """The kind of a piece (sentence, list or short), its shape, and for a sentence its units: content words and pairs of
-    ideographs."""
+    field_words: float = 3
+    run: int = 12
+    again: float = 0.28
+    same: float = 0.45
+    caps: float = 0.75
+    wrapped: int = 30
+    near: int = 3
+    times: int = 3
+    within: float = 0.05
+    around: float = 0.25
+
+
+def _units(words: list[str]) -> list:
+    """Pairs of neighbouring words; within a run of an unspaced script all its stretches of two signs, or five of an alphabet."""
+    if not any(map(_UNSPACED_AT.match, words)):
+        return list(zip(words, words[1:]))
+    out: list = []
+    last = None
+    for w in words:
+        if _UNSPACED_AT.match(w):
+            k = 5 if _ALPHABET_AT.match(w) else 2
+            out += [w[i : i + k] for i in range(max(1, len(w) - k + 1))]
+            last = None
+        else:
+            if last is not None:
+                out.append((last, w))
+            last = w
+    return out
+
+
+def _repeats(units: list, words: list[str], c: ShapeConfig) -> bool:
+    """Whether a piece says the same again and again. Taken over stretches of a hundred, since any long text repeats itself."""
+    pairs = sum(len(x) - len(set(x)) for x in (units[i : i + 100] for i in range(0, len(units), 100)))
+    if pairs >= c.again * len(units):
+        return True
+    single = sum(len(x) - len(set(x)) for x in (words[i : i + 100] for i in range(0, len(words), 100)))
+    return len(words) >= 2 * c.run and single >= c.same * len(words)
+
+
+def shape_of(piece: str, c: ShapeConfig = ShapeConfig(), alone: bool = True) -> tuple[str, str, list]:
+    """The kind of a piece (sentence, list or short), its shape, and for a sentence its units. ``alone``: it is a whole line."""
     n = len(piece)
     rest = piece
     if "://" in piece or "www." in piece:
-        links = sum(len(x) for x in _LINK.findall(piece))
-        if links * 2 >= n:
+        if sum(map(len, _LINK.findall(piece))) * 2 >= n:
             return "list", "links", []
         rest = _LINK.sub(" ", piece)
-    if "#" in piece and sum(len(x) for x in _TAG.findall(piece)) * 2 >= n:
+    if "#" in piece and sum(map(len, _TAG.findall(piece))) * 2 >= n:
         return "list", "tags", []
     if ":" in piece or "：" in piece:
         pairs = [len(x) for x in _PAIR.findall(piece)]
         if len(pairs) >= 3 and sum(pairs) * 3 >= n:
             return "list", "pairs", []
-    words = _LATIN.findall(rest)
-    content = [x for x in map(str.lower, words) if x not in _SMALL_WORDS]
-    ideo = [] if rest.isascii() else _IDEO.findall(rest)
-    n_ideo = sum(map(len, ideo))
-    small = len(words) - len(content)
-    prose = words and small >= c.word_density * len(words)
-    if not prose and n_ideo:
-        signs = len(_SIGNS.findall(rest))
-        prose = signs and signs >= c.sign_density * n_ideo
-    if not prose:
-        fields = [f for f in _FIELDS.split(rest) if f.strip()]
-        if len(fields) >= c.fields:
+    if rest.isascii():
+        words, blocks = _ASCII_WORD.findall(rest), []
+        size = float(len(words))
+    else:
+        words = _WORD.findall(rest)
+        blocks = [w for w in words if _UNSPACED_AT.match(w)]
+        size = len(words) - len(blocks) + sum(len(w) / (5 if _ALPHABET_AT.match(w) else 2) for w in blocks)
+    ends = bool(_ENDS.search(piece))
+    parts = [f for f in _FIELDS.split(rest) if f.strip()]
+    if len(parts) >= c.fields * (1 + ends) and size <= c.field_words * len(parts):
+        return "list", f"fields{'.' if ends else ''}", []
+    if blocks and not ends:
+        apart = [x for x in rest.split() if _UNSPACED_AT.match(x)]
+        if len(apart) >= c.fields and sum(len(x) / (5 if _ALPHABET_AT.match(x) else 2) for x in apart) <= c.field_words * len(apart):
             return "list", "fields", []
-        if len(words) >= 12 or len(ideo) >= 6 or max(map(len, ideo), default=0) > c.run:
-            return "list", "run", []
-        if not (len(words) + n_ideo > 8 and _ENDS.search(piece)):
-            caps = "".join("W" if w[0].isupper() else "w" for w in words[:8])
-            return "short", caps + "".join(f"c{min(len(x), 12)}" for x in ideo[:6]) + ("s" if len(fields) > 1 else ""), []
-    for x in ideo:
-        content += map(str.__add__, x, x[1:])
-    return "sentence", "sentence", content
-
-
-def stuffed(sentences: list[tuple[int, list[str]]], c: ShapeConfig) -> int:
+    low = [w.lower() for w in words]
+    units = _units(low)
+    if size >= c.run and _repeats(units, low, c):
+        return "list", "run", []
+    if size <= c.short and (alone or not ends):
+        caps = "".join("W" if w[0].isupper() else "0" if w[0].isdigit() else f"c{min(len(w), 12)}" if _UNSPACED_AT.match(w) else "w" for w in words[:8])
+        return "short", caps + ("s" if len(parts) > 1 else ""), []
+    if not ends and len(words) >= c.short:
+        cased = [w for w in words if w[0].lower() != w[0].upper()]
+        if len(cased) >= c.short and sum(w[0].isupper() for w in cased) >= c.caps * len(cased):
+            return "list", "names", []
+    return "sentence", "sentence", units
+
+
+def stuffed(sentences: list[tuple[int, list]], c: ShapeConfig) -> int:
     """The size of those (size, units) sentences whose units come up again and again in the sentences around them.
 
     Keywords are also repeated inside a sentence. Sentences that are only alike, as in a log, repeat words from one to the
     next but not within, and count for nothing.
     """
-    if sum(len(u) for _, u in sentences) < c.least_units:
+    inside = sum(len(u) - len(set(u)) for _, u in sentences)
+    if inside < c.within * sum(len(u) for _, u in sentences) or inside < 2:
         return 0
-    near: Counter[str] = Counter()
-    total, size, units_in, repeated = 0, len(sentences), 0, 0
-    for i in range(min(c.around, size)):
+    near: Counter = Counter()
+    found: list[tuple[int, list]] = []
+    for i in range(min(c.near, len(sentences))):
         near.update(sentences[i][1])
-    for i, (chars, units) in enumerate(sentences):
-        if i + c.around < size:
-            near.update(sentences[i + c.around][1])
-        if i > c.around:
-            near.subtract(sentences[i - c.around - 1][1])
-        if units and sum(near[u] >= c.again for u in units) >= c.stuffed * len(units):
-            total += chars
-            units_in += len(units)
-            repeated += len(units) - len(set(units))
-    return total if repeated >= c.within * units_in else 0
+    for i, (_, units) in enumerate(sentences):
+        if i + c.near < len(sentences):
+            near.update(sentences[i + c.near][1])
+        if i > c.near:
+            near.subtract(sentences[i - c.near - 1][1])
+        if units and sum(near[u] >= c.times for u in units) >= c.around * len(units):
+            found.append(sentences[i])
+    repeated = sum(len(u) - len(set(u)) for _, u in found)
+    return sum(n for n, _ in found) if repeated >= c.within * sum(len(u) for _, u in found) else 0
+
+
+def _lines(text: str, c: ShapeConfig) -> Iterator[tuple[int, str]]:
+    """(size, content) of lines without markup and bullets; a long line that a small letter goes on from is put together."""
+    size, held, bare = 0, "", False
+    for line in text.split("\n"):
+        body = (_MARKUP.sub("", line) if "<" in line or "&" in line else line).strip()
+        if not body:
+            continue
+        plain = _QUOTED.sub("", body)
+        if held and plain and len(held) >= c.wrapped and bare and not plain[0].isupper() and plain[0].isalpha() and not _ENDS.search(held) and "://" not in held and "://" not in plain:
+            held, size = f"{held} {plain}", size + len(body) + 1
+            continue
+        if size:
+            yield size, held
+        held, size = _BULLET.sub("", body), len(body) + 1
+        bare = len(held) == len(plain)
+    if size:
+        yield size, held
 
 
 def list_share(text: str | None, c: ShapeConfig = ShapeConfig()) -> float:
-    """The share of a text's characters that are in lists or stuffed sentences; 0 for null and blank texts."""
+    """The share of a text's characters in its few greatest non-sentence shapes; 0 for null and blank texts."""
     if not text or not text.strip():
         return 0.0
-    listed = total = 0
-    short: dict[str, list[int]] = {}
-    sentences: list[tuple[int, list[str]]] = []
-    for line in text.split("\n"):
-        body = (_MARK.sub("", line) if "<" in line or "&" in line else line).strip()
-        if not body:
-            continue
-        total += len(body) + 1
-        bare = _BULLET.sub("", body)
-        extra = len(body) - len(bare) + 1  # the bullet and the line's end count with its first piece
-        for piece in _CUT.split(bare):
-            if not piece:
-                continue
-            kind, shape, units = shape_of(piece, c)
+    total = in_sentences = 0
+    held: Counter[tuple[str, str]] = Counter()
+    count: Counter[tuple[str, str]] = Counter()
+    sentences: list[tuple[int, list]] = []
+    for whole, line in _lines(text, c):
+        total += whole
+        pieces = [p for p in _CUT.split(line) if p]
+        extra = whole - len(line)  # bullet, markup and line end count with the first piece
+        for piece in pieces:
+            kind, shape, units = shape_of(piece, c, len(pieces) == 1)
             size, extra = len(piece) + extra, 1
-            if kind == "list":
-                listed += size
-            elif kind == "short":
-                short.setdefault(shape, []).append(size)
-            else:
+            if kind == "sentence":
                 sentences.append((size, units))
-    listed += sum(sum(sizes) for sizes in short.values() if len(sizes) >= c.repeats)
-    if sentences and 2 * (listed + sum(n for n, _ in sentences)) > total:
-        listed += stuffed(sentences, c)
-    return min(1.0, listed / total) if total else 0.0
+                in_sentences += size
+            else:
+                held[kind, shape] += size
+                count[kind, shape] += 1
+    listed = [n for (kind, shape), n in held.items() if kind == "list" or count[kind, shape] >= c.repeats]
+    if sentences and 2 * (sum(listed) + in_sentences) > total:
+        listed.append(stuffed(sentences, c))
+    return min(1.0, sum(sorted(listed)[-c.few :]) / total) if total else 0.0
 
 
 def list_pages(df: DataFrame, *, id: str, text: str, config: ShapeConfig = ShapeConfig()) -> DataFrame:
-    """(id, share) for pages of which more than ``config.share`` of the characters are in lists.
+    """(id, share) for pages of which more than ``config.share`` of the characters are in a few non-sentence shapes.
 
     - Null, empty and blank texts, and texts of one short piece, are never flagged. A null id is kept as null.
     - Repeated rows come out each time. Texts of any length are read whole. An empty table gives no rows.
