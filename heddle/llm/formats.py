@@ -95,6 +95,13 @@ def format_copies(df: DataFrame, *, id: str, fields: dict[str, Callable[[Column]
     return found.where(F.col("first_id").isNotNull() & (F.col("id") != F.col("first_id"))).select("first_id", F.col("id").alias("copy_id"))
 
 
+def format_firsts(df: DataFrame, *, id: str, fields: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """(id, first_id) for every record: the smallest id of its group, which is its own for the first of them."""
+    members, groups = format_groups(df, id=id, fields=fields)
+    first = F.coalesce("first_id", "id").alias("first_id")
+    return hot_lookup(members, groups.where("copies > 1"), ["tuple"], "copies").select("id", first)
+
+
 def collapse_formats(df: DataFrame, *, id: str, fields: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """(first_id, copies): each record once, with the number of its copies, itself included."""
     return format_groups(df, id=id, fields=fields)[1].select("first_id", "copies")

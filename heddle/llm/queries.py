@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from heddle.llm.components import link_groups
 from heddle.llm.confusables import match_display, skeleton_groups
-from heddle.llm.formats import address_form, collapse_formats, format_copies, plain_form
-from heddle.llm.fusion import fuse, survivors
+from heddle.llm.formats import address_form, collapse_formats, format_copies, format_firsts, plain_form
+from heddle.llm.fusion import decide_newest, golden_records, survivors
 from heddle.llm.leaks import leaked_passages
 from heddle.llm.packing import pack, token_sizes
 from heddle.llm.setjoin import similar_counts, similar_pairs
@@ -60,26 +60,30 @@ def p4_records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _level_claims(spark: SparkSession, d: str) -> DataFrame:
-    """What each batch of comparisons says about each key's level."""
+    """What comparisons say about each key's level; a source is a batch and the side of the comparison that the key is on."""
     t = table(spark, d, "mirror_groups")
-    both = t.select("key", "level", "generated_at").unionByName(t.select(F.col("peer_key").alias("key"), F.col("peer_level").alias("level"), "generated_at"))
+    side = lambda name: F.concat(F.col("generated_at").cast("string"), F.lit(name)).alias("said_by")
+    both = t.select("key", "level", "generated_at", side(" key")).unionByName(t.select(F.col("peer_key").alias("key"), F.col("peer_level").alias("level"), "generated_at", side(" peer")))
     level = F.upper(F.regexp_replace("level", r"(?U)\s+", ""))
-    return both.select("key", F.when(level != "", level).alias("level"), "generated_at", F.col("generated_at").cast("string").alias("batch"))
+    return both.select("key", F.when(level != "", level).alias("level"), "generated_at", "said_by")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     probes = table(spark, d, "sites_probe")
-    level = fuse(_level_claims(spark, d), entity="key", source="batch", value="level", at="generated_at")
-    times = probes.select("key", "ms", "generated_at", F.col("generated_at").cast("string").alias("batch"))
-    ms = fuse(times, entity="key", source="batch", value="ms", at="generated_at")
+    level = decide_newest(_level_claims(spark, d), entity="key", source="said_by", value="level", at="generated_at")
+    times = probes.select("key", "ms", "generated_at", F.concat_ws(" ", F.col("generated_at").cast("string"), "type").alias("said_by"))
+    ms = decide_newest(times, entity="key", source="said_by", value="ms", at="generated_at")
     named = probes.where(F.col("key").isNotNull() & F.col("name").rlike(r"(?U)\S")).groupBy("key").agg(F.max("generated_at").alias("at"))
     return survivors(p1_found(spark, d), level, ms, named, LEVELS)
 
 
 def p7_fused(spark: SparkSession, d: str) -> DataFrame:
-    """The level of each key with the greatest posterior over all batches, newest or not."""
-    level = fuse(_level_claims(spark, d), entity="key", source="batch", value="level")
-    return level.select(F.col("entity").alias("key"), F.col("value").alias("level"), "posterior")
+    """One site record for each group of formatting duplicates: every field by what the sources that deliver it say."""
+    sites = table(spark, d, "sites")
+    firsts = format_firsts(sites, id="row_id", fields=_SITE_FIELDS)
+    records = sites.select(F.col("row_id").alias("id"), "src", "name", "group_name", "jar", "searchable", "quick_search").join(firsts, "id")
+    made = golden_records(records, entity="first_id", source="src", fields=["name", "group_name", "jar", "searchable", "quick_search"])
+    return made.select(F.col("entity").alias("first_id"), "field", "value", F.round("posterior", 6).alias("posterior"))
 
 
 def p8_pack(spark: SparkSession, d: str) -> DataFrame:
