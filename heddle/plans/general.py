@@ -18,7 +18,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     sites = table(spark, d, "sites").select(F.col("row_id").alias("id"), F.col("ext").alias("v"), F.lit("sites").alias("kind"))
     lives = table(spark, d, "lives").select(F.col("live_id").alias("id"), F.col("url").alias("v"), F.lit("lives").alias("kind"))
-    known = known_values(sites.unionByName(lives), "v")  # one dictionary for both tables
+    api = table(spark, d, "sites").select("api")  # one address a row
+    known = known_values(sites.unionByName(lives), "v", single=[api])  # one dictionary for both tables
     parts = [split_packed(t, id="id", column="v", known=known).select(F.lit(k).alias("rec_kind"), "rec_id", "pos", "item") for t, k in ((sites, "sites"), (lives, "lives"))]
     return parts[0].unionByName(parts[1])
 
