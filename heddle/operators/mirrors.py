@@ -13,6 +13,7 @@ from heddle.functions.content import sketch_value
 from heddle.functions.names import title_norm
 from heddle.functions.urls import host_of
 from heddle.operators.blocks import block_pairs
+from heddle.operators.overlap import set_classes, similar_classes
 from heddle.operators.union_find import union_find
 from heddle.runtime import durable, hot_lookup
 
@@ -26,39 +27,32 @@ def sketch(titles: Column, k: int = 64) -> Column:
     return F.slice(F.array_sort(F.array_distinct(F.transform(titles, sketch_value))), 1, k)
 
 
-def jaccard_parts(a: Column, b: Column) -> tuple[Column, Column]:
-    """Sizes of intersection and union, as integers so that thresholds compare exactly."""
-    common = F.size(F.array_intersect(a, b))
-    return common, F.size(a) + F.size(b) - common
-
-
 def mirror_pairs(df: DataFrame, *, id: str, type: str, titles: str, total: str, api: str, least: int = 5, strict: tuple[int, int] = (8, 10), loose: tuple[int, int] = (5, 10), tolerance: tuple[int, int] = (15, 100)) -> DataFrame:
     """(a, b, rule) for records of one type that are one library, or the same function under another host.
 
     Library: title overlap from ``strict`` and totals within ``tolerance`` (missing totals pass). Function: overlap from
-    ``loose`` and different hosts. Candidates share a title among the rare ones that a pair at ``loose`` can't avoid
-    sharing (prefix filter over titles from rare to frequent), so no pair is missed and no type is crossed with itself.
+    ``loose`` and different hosts. Records of one type and set of titles are one class; classes are joined at ``loose`` by
+    the prefixes of :mod:`heddle.operators.overlap`, so no pair is missed and no type is crossed with itself.
     """
-    rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), title_set(F.col(titles)).alias("t"), F.col(total).alias("total"), host_of(F.col(api)).alias("host"))
-    rows = durable(rows.where((F.size("t") >= least) & F.col("id").isNotNull()))
-    words = rows.select("id", "type", F.size("t").alias("n"), F.explode("t").alias("w"))
-    freq = durable(words.groupBy("w").agg(F.count(F.lit(1)).alias("f")))
-    ordered = hot_lookup(words, freq, ["w"], "f").groupBy("id", "type", "n").agg(F.array_sort(F.collect_list(F.struct("f", "w"))).alias("s"))
-    keep = F.col("n") - F.ceil(F.col("n") * loose[0] / F.lit(loose[1])).cast("int") + 1
-    keys = durable(ordered.select("id", "type", "n", F.explode(F.transform(F.slice("s", F.lit(1), keep), lambda x: x["w"])).alias("w")))
-    held = keys.groupBy("type", "w").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    fit = (F.col("n") * loose[1] >= F.col("n_b") * loose[0]) & (F.col("n_b") * loose[1] >= F.col("n") * loose[0])
-    pairs = block_pairs(keys.join(held, ["type", "w"]), key=["type", "w"], item="id", count="held", most=1000, carry=["n"], fit=fit).distinct()
-    left = rows.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("total").alias("na"), F.col("host").alias("ha"))
-    right = rows.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("total").alias("nb"), F.col("host").alias("hb"))
-    full = pairs.join(left, "a").join(right, "b")
-    common, union = jaccard_parts(F.col("ta"), F.col("tb"))
-    full = full.withColumn("c", common).withColumn("u", union)
-    apart = F.abs(F.col("na") - F.col("nb")) * tolerance[1] > F.greatest("na", "nb") * tolerance[0]
-    near = F.when((F.coalesce("na", F.lit(0)) != 0) & (F.coalesce("nb", F.lit(0)) != 0), ~apart).otherwise(True)
-    library = (F.col("c") * strict[1] >= F.col("u") * strict[0]) & near
-    function = (F.col("ha") != F.col("hb")) & (F.col("c") * loose[1] >= F.col("u") * loose[0])
-    return full.withColumn("rule", F.when(library, "library").when(function, "function")).where("rule is not null").select("a", "b", "rule")
+    rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), title_set(F.col(titles)).alias("set"), F.col(total).alias("total"), host_of(F.col(api)).alias("host"))
+    members, classes = set_classes(rows.where((F.size("set") >= least) & F.col("id").isNotNull() & F.col("type").isNotNull()))
+    links = durable(similar_classes(classes, loose[0] / loose[1]))
+
+    def rule(total_b: str, host_b: str, common: Column, union: Column) -> Column:
+        apart = F.abs(F.col("total") - F.col(total_b)) * tolerance[1] > F.greatest("total", total_b) * tolerance[0]
+        near = F.when((F.coalesce("total", F.lit(0)) != 0) & (F.coalesce(total_b, F.lit(0)) != 0), ~apart).otherwise(True)
+        library = (common * strict[1] >= union * strict[0]) & near
+        return F.when(library, "library").when((F.col("host") != F.col(host_b)) & (common * loose[1] >= union * loose[0]), "function")
+
+    far = members.select(F.col("cls").alias("b"), F.col("id").alias("id_b"), F.col("total").alias("total_b"), F.col("host").alias("host_b"))
+    across = links.join(members.withColumnRenamed("cls", "a"), "a").join(far, "b")
+    across = across.select("id", "id_b", rule("total_b", "host_b", F.col("common"), F.col("both") - F.col("common")).alias("rule")).where("rule is not null and id <> id_b")
+    shared = durable(classes.where("copies > 1").select("cls", "copies"))
+    copies = hot_lookup(members, shared, ["cls"], "copies").where("copies is not null")
+    same = rule("total_b", "host_b", F.lit(1), F.lit(1))
+    inside = block_pairs(copies, key=["cls"], item="id", count="copies", most=1000, carry=["total", "host"], fit=same.isNotNull(), keep=[same.alias("rule")])
+    both = across.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b"), "rule")
+    return both.unionByName(inside).groupBy("a", "b").agg(F.max("rule").alias("rule"))
 
 
 def _roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
