@@ -1,21 +1,16 @@
 """All pairs of set-valued records whose sets overlap above a Jaccard threshold.
 
-Sets of equal type and content are first made one class. Tokens are ordered rare to frequent; two sets that reach the
-threshold share at least l tokens among the first n - ceil(t n) + l of each (the l-prefix). The join key starts as one
-token of the 1-prefix. Where a key is held by too many records, and only there, the prefix is extended by one and the key
-becomes a combination of one more shared token, level after level. So frequent tokens cost combinations, rare ones don't.
+Sets of equal type and content are first made one class; classes are joined by :mod:`heddle.operators.overlap`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.operators.blocks import block_pairs
+from heddle.operators.overlap import set_classes as class_sets
+from heddle.operators.overlap import similar_classes
 from heddle.runtime import durable, hot_lookup
 
 #: White space that may stand around an entry.
@@ -29,100 +24,10 @@ def as_set(column: str) -> Column:
 
 
 def set_classes(df: DataFrame, *, id: str, type: str, values: str, least: int) -> tuple[DataFrame, DataFrame]:
-    """Members (id, cls) and classes (cls, type, toks, size, copies) of records with equal type and set.
-
-    ``cls`` is a 128-bit hash of type and set. Records with a null id or type, or fewer than ``least`` entries, are left out.
-    ``toks`` are 64-bit hashes of the entries; two entries of one pair of sets would have to agree in 64 bits to be confused.
-    """
+    """Members (id, cls) and classes; records with a null id or type, or fewer than ``least`` entries, are left out."""
     rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), as_set(values).alias("set"))
-    rows = rows.where(F.col("id").isNotNull() & F.col("type").isNotNull() & (F.size("set") >= least))
-    key = F.md5(F.concat_ws("\x1f", F.col("type").cast("string"), F.transform("set", lambda x: F.concat(F.length(x).cast("string"), F.lit(":"), x))))
-    rows = durable(rows.select("id", "type", key.alias("cls"), F.transform("set", lambda x: F.xxhash64(x)).alias("toks")))
-    classes = rows.groupBy("cls").agg(F.first("type").alias("type"), F.first("toks").alias("toks"), F.countDistinct("id").alias("copies"))
-    classes = durable(classes.withColumn("size", F.size("toks")))
-    return rows.select("id", "cls").distinct(), classes
-
-
-def _order_tokens(hot: object):
-    """Each set rare to frequent: tokens that aren't hot first, by hash, then the hot ones by frequency."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, freq = hot.value
-        for b in batches:
-            lists = b.column("toks")
-            flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            f = np.zeros(len(flat), dtype=np.int64)
-            if len(token) and len(flat):
-                i = np.minimum(np.searchsorted(token, flat), len(token) - 1)
-                f = np.where(token[i] == flat, freq[i], 0)
-            row = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            ordered = pa.ListArray.from_arrays(pa.array(at, type=pa.int32()), pa.array(flat[np.lexsort((flat, f, row))]))
-            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("type"), ordered, b.column("size"), b.column("copies")], names=["cls", "type", "toks", "size", "copies"])
-
-    return run
-
-
-def similar_classes(classes: DataFrame, threshold: float, *, most: int = 100, levels: int = 4, hot_tokens: int = 200_000) -> DataFrame:
-    """(a, b, common) for classes a < b of the same type with |common| / |all| >= threshold.
-
-    ``most`` is the number of holders above which a key is lengthened. Keys still above it at the last level are joined in
-    blocks of ``most`` by ``most``, so no task holds a whole group and no pair is lost.
-    """
-    spark = classes.sparkSession
-    top, base = _ratio(threshold)
-    total = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    # At most total / line tokens are hot: the bound of what is sent to the executors.
-    line = max(32, -(-int(total) // hot_tokens))
-    counts = classes.select(F.explode("toks").alias("tok")).groupBy("tok").count().where(F.col("count") > line).toPandas()
-    counts = counts.sort_values("tok")
-    hot = spark.sparkContext.broadcast((counts["tok"].to_numpy(np.int64), counts["count"].to_numpy(np.int64)))
-    ordered = durable(classes.select("cls", "type", "toks", "size", "copies").mapInArrow(_order_tokens(hot), "cls string, type string, toks array<long>, size int, copies long" if dict(classes.dtypes)["type"] == "string" else f"cls string, type {dict(classes.dtypes)['type']}, toks array<long>, size int, copies long"))
-    need = F.ceil((F.col("size") * top) / F.lit(base)).cast("int")
-    prefix = lambda n: F.slice("toks", 1, F.least(F.col("size"), F.col("size") - need + n))
-    keys = ordered.select("cls", "size", "type", F.array().cast("array<long>").alias("used"), "toks")
-    found: list[DataFrame] = []
-    for level in range(1, levels + 1):
-        # Only the key travels; sets are fetched again for the holders of hot keys.
-        longer = keys.select("cls", "size", "type", "used", F.explode(F.array_except(prefix(level), F.col("used"))).alias("tok"))
-        longer = longer.select("cls", "size", "type", F.concat("used", F.array("tok")).alias("used")).withColumn("key", F.xxhash64("type", "used"))
-        holders = longer.groupBy("key").count().where("count > 1")
-        small = holders if level == levels else holders.where(F.col("count") <= most)
-        rows = longer.select("cls", "size", "key")
-        if level < levels:
-            found.append(_pairs(rows.join(small.select("key"), "key"), top, base))
-            keys = durable(longer.join(holders.where(F.col("count") > most), "key").select("cls", "size", "type", "used", "key", "count"))
-            # Sets so small that a pair may share no more tokens than the key has: a longer key would lose that pair.
-            found.append(block_pairs(keys.where(need <= level), key=["key"], item="cls", count="count", most=most, carry=["size"], fit=_sizes_fit(top, base)))
-            if keys.isEmpty():
-                break
-            keys = keys.join(ordered.select("cls", "toks"), "cls")
-        else:
-            found.append(block_pairs(rows.join(small, "key"), key=["key"], item="cls", count="count", most=most, carry=["size"], fit=_sizes_fit(top, base)))
-    pairs = found[0]
-    for p in found[1:]:
-        pairs = pairs.unionByName(p)
-    pairs = pairs.distinct()
-    sets = ordered.select("cls", "toks")
-    full = pairs.join(sets.select(F.col("cls").alias("a"), F.col("toks").alias("ta")), "a").join(sets.select(F.col("cls").alias("b"), F.col("toks").alias("tb")), "b")
-    full = full.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("common"), (F.size("ta") + F.size("tb")).alias("both"))
-    return full.where(F.col("common") * base >= (F.col("both") - F.col("common")) * top).select("a", "b", "common")
-
-
-def _ratio(threshold: float) -> tuple[int, int]:
-    """The threshold as a ratio of integers, so that equality is exact."""
-    from fractions import Fraction
-
-    f = Fraction(str(threshold))
-    return f.numerator, f.denominator
-
-
-def _sizes_fit(top: int, base: int) -> Column:
-    return (F.col("size") * base >= F.col("size_b") * top) & (F.col("size_b") * base >= F.col("size") * top)
-
-
-def _pairs(rows: DataFrame, top: int, base: int) -> DataFrame:
-    other = rows.select("key", F.col("cls").alias("b"), F.col("size").alias("size_b"))
-    return rows.join(other, "key").where((F.col("cls") < F.col("b")) & _sizes_fit(top, base)).select(F.col("cls").alias("a"), "b")
+    members, classes = class_sets(rows.where(F.col("id").isNotNull() & F.col("type").isNotNull() & (F.size("set") >= least)))
+    return members.distinct(), classes
 
 
 def similar_pairs(df: DataFrame, *, id: str, type: str, values: str, threshold: float, least: int = 1, most: int = 100) -> DataFrame:
