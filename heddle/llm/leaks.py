@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heddle.runtime import durable
+
 _DROPPED = re.compile(r"[\W_]+")
 _BUILT: dict[tuple[int, int], tuple] = {}
 
@@ -91,8 +93,9 @@ def leaked_passages(docs: DataFrame, items: DataFrame, *, id: str, text: str, it
     - Texts of any length are scanned whole. Repeated rows come out each time. Empty tables give no rows.
     - Further columns are not read, whatever their names.
 
-    A map over the scan of the texts. The items go to the executors; if they have more than ``slice_chars`` characters
-    they go in slices of about that size, with one scan a slice, so no automaton outgrows its worker.
+    A map over the scan of the texts. The items go to the executors. If they have more than ``slice_chars`` characters they go
+    in slices of about that size, one after the other, each with a scan of its own whose hits are written: driver and workers
+    hold one slice at a time, however many items there are.
     """
     spark = docs.sparkSession
     tests = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).alias("t")).where(F.length("t") >= run)
@@ -100,14 +103,15 @@ def leaked_passages(docs: DataFrame, items: DataFrame, *, id: str, text: str, it
     slices = max(1, -(-int(size) // slice_chars))
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.length("text") >= run)
     kind = dict(rows.dtypes)["id"]
-    parts = []
+    out = None
     for k in range(slices):
         some = tests.where(F.pmod(F.xxhash64("t"), F.lit(slices)) == k) if slices > 1 else tests
         shared = spark.sparkContext.broadcast([(r.i, r.t) for r in some.collect()])
-        parts.append(rows.mapInArrow(_scan(shared, run), f"id {kind}, item_id long, start int, end int"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        hits = rows.mapInArrow(_scan(shared, run), f"id {kind}, item_id long, start int, end int")
+        if slices > 1:
+            hits = durable(hits)
+            shared.destroy()
+        out = hits if out is None else out.unionByName(hits)
     return out
 
 

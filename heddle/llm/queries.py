@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -134,40 +132,31 @@ _FORMS = (
 )
 
 
+#: What the look-alike SQL knows by itself, apart from the operator's rules and table: full-width forms, spaces, characters
+#: without width, radicals that are whole characters, and letters of other scripts with the look of Latin ones.
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0x7F)))
+_BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\t\n\r"
+_NO_WIDTH = "\u00ad\u034f\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff\ufe0e\ufe0f"
+_RADICALS = "".join(map(chr, range(0x2F00, 0x2FD6)))
+_LETTERS = [("АВЕКМНОРСТХЅІЈ", "ABEKMHOPCTXSIJ"), ("аеорсухіјѕ", "aeopcyxijs"), ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX"), ("ονρα", "ovpa"), ("ԁԛԝһ", "dqwh"), ("‐‑–", "---"), ("’‘", "\'\'"), ("ɡɑıⅼ", "gail")]
 
-def _translation() -> tuple[str, str]:
-    """The prototypes of all characters of the basic plane that have one of one character, and then those that vanish."""
-    import unicodedata
 
-    from heddle.llm.confusables import skeleton
+def _skeleton_form(column: str) -> str:
+    from unicodedata import normalize
 
-    pairs, gone = [], []
-    for c in map(chr, [*range(0x80, 0xD800), *range(0xF900, 0xFFFE)]):
-        t = unicodedata.normalize("NFC", skeleton(f"x{c}x")[1:-1])
-        if not t:
-            gone.append(c)
-        elif len(t) == 1 and t != unicodedata.normalize("NFC", c):
-            pairs.append((c, t))
-    return "".join(a for a, _ in pairs) + "".join(gone), "".join(b for _, b in pairs)
+    source = _WIDE[0] + _BLANKS + _RADICALS + "".join(a for a, _ in _LETTERS) + _NO_WIDTH
+    target = _WIDE[1] + " " * len(_BLANKS) + normalize("NFKC", _RADICALS) + "".join(b for _, b in _LETTERS)
+    source, target = (x.replace("'", "''") for x in (source, target))
+    return f"trim(regexp_replace(nfc_normalize(translate(nfc_normalize({column}), '{source}', '{target}')), ' +', ' ', 'g'))"
 
 
-@lru_cache(maxsize=1)
-def _skeleton_sql() -> str:
-    source, target = (x.replace("'", "''") for x in _translation())
-    form = lambda c: f"trim(regexp_replace(nfc_normalize(translate(nfc_normalize({c}), '{source}', '{target}')), ' +', ' ', 'g'))"
-    return f"""WITH v AS (SELECT name_id, display_name, {form("display_name")} AS form FROM name_vocab WHERE display_name IS NOT NULL),
+_SKELETON_SQL = f"""WITH v AS (SELECT name_id, display_name, {_skeleton_form("display_name")} AS form FROM name_vocab WHERE display_name IS NOT NULL),
       r AS (SELECT 'lives' AS rec_kind, live_id AS rec_id, name FROM lives UNION ALL SELECT 'sites', row_id, name FROM sites),
-      f AS (SELECT *, {form("name")} AS form FROM r WHERE name IS NOT NULL AND name NOT IN (SELECT display_name FROM v))
+      f AS (SELECT *, {_skeleton_form("name")} AS form FROM r WHERE name IS NOT NULL AND name NOT IN (SELECT display_name FROM v))
       SELECT rec_kind, rec_id, name_id FROM f JOIN v USING (form) WHERE form <> ''"""
 
-
-def __getattr__(name: str) -> dict[str, str]:
-    if name == "SQL":  # made when asked for, since one statement lists the prototypes of all characters
-        return {"p3_found": _skeleton_sql(), **_STATIC}
-    raise AttributeError(name)
-
-
-_STATIC = {
+SQL = {
+    "p3_found": _SKELETON_SQL,
     "p1_found": f"WITH RECURSIVE {_GROUPS} SELECT key, group_key FROM grp",
     "p2_found": f"WITH {_SETS} SELECT probe_a, probe_b FROM pairs",
     "p2_links": f"""WITH {_SETS}, sig AS (SELECT probe_id, type, list_sort(list(tok)) AS t FROM s JOIN z USING (probe_id, type) GROUP BY ALL),

@@ -1,6 +1,6 @@
 import pytest
 
-from heddle.llm.confusables import match_display, skeleton, skeleton_groups
+from heddle.llm.confusables import _Prototypes, match_display, skeleton, skeleton_groups, unicode_table
 
 
 @pytest.mark.parametrize("a,b", [("Norvale TV", "Ｎｏｒｖａｌｅ　ＴＶ"), ("Canal Ménora", "Canal Ménora"), ("Copex Action", "Сорех Асtіоn"), ("海台", "海台"), ("鹿山", "⿅⼭"), ("Max-7 A", "Max‑7\u00a0A"), ("abc", "a\u200bb\u00ad\ufeffc\u2060"), ("Ново", "Hoвo"), ("(x)", "（x）"), ("ΝΒΧ", "NBX"), ("Ёж", "Ёж")])
@@ -30,3 +30,30 @@ def test_match(spark):
 def test_groups(spark):
     df = spark.createDataFrame([("Opal",), ("Ｏpal",), ("Opal",), (None,), ("",)], "name string")
     assert sorted(map(tuple, skeleton_groups(df, column="name").collect())) == [("", 1, 1, ""), ("Opal", 2, 3, "Opal")]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return _Prototypes(unicode_table(spark))
+
+
+@pytest.mark.parametrize("a,b", [("ı", "i"), ("α", "a"), ("ꓐ", "B"), ("ǃ", "!"), ("ᴄ", "c"), ("ѵ", "v"), ("ꓫ", "X"), ("ⲟ", "o"), ("ℓ", "l"), ("Ⅿ", "M"), ("І", "I"), ("Ｏ", "O"), ("ﬁn", "fin"), ("𝐀", "A"), ("ӏ", "i")])
+def test_the_table_of_unicode(table, a, b):
+    assert skeleton(a, table) == skeleton(b, table)
+
+
+@pytest.mark.parametrize("a,b", [("TV", "tv"), ("O2", "02"), ("Il", "ll"), ("rn", "m"), ("Canal Ménora", "Canal Menora"), ("x²", "x2"), ("①", "1"), ("工口", "工囗A"), ("Max-7", "Max7")])
+def test_the_table_keeps_apart(table, a, b):
+    assert skeleton(a, table) != skeleton(b, table)
+
+
+def test_look_alikes_within_ascii_if_asked_for(spark):
+    t = _Prototypes(unicode_table(spark, ascii_alike=True))
+    assert len(t.table) > 10_000
+    for a, b in (("I1|l", "llll"), ("O0", "OO"), ("modern", "rnodern"), ("pay1", "payI"), ("аррӏе", "appie")):
+        assert skeleton(a, t) == skeleton(b, t)
+    assert skeleton("Opal", t) != skeleton("opal", t)
+    vocab = spark.createDataFrame([(1, "Il0")], "vid int, entry string")
+    df = spark.createDataFrame([(1, "IlO"), (2, "l1o"), (3, "Il0")], "id long, name string")
+    run = lambda flag: [tuple(r) for r in match_display(df, id="id", column="name", vocab=vocab, vocab_id="vid", vocab_column="entry", ascii_alike=flag).collect()]
+    assert run(True) == [(1, 1)] and run(False) == []
