@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -50,16 +51,62 @@ def token_counter(name: str, folder: str) -> Callable[[list[str]], list[int]]:
     return lambda texts: [len(x.ids) for x in tok.encode_batch(texts, add_special_tokens=False)] if texts else []
 
 
-def token_sizes(df: DataFrame, *, id: str, text: str, tokenizer: str = "byte_bpe_multi_50k.tiktoken", folder: str = TOKENIZERS) -> DataFrame:
-    """(id, size): the tokens of each text, whole; null texts are left out."""
+@lru_cache(maxsize=4)
+def token_starts(name: str, folder: str) -> Callable[[str], list[int]]:
+    """The place in the UTF-8 bytes of a text where each of its tokens begins; a token may begin inside a character."""
+    path = f"{folder}/{name}"
+    if name.endswith(".tiktoken"):
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        enc = tiktoken.Encoding("own", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        width = {v: len(k) for k, v in ranks.items()}
+        return lambda text: [0, *accumulate(width[x] for x in enc.encode_ordinary(text))][:-1]
+    if name.endswith(".model"):
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        places = lambda text: [a for a, _ in sp.encode(text, out_type="offset_mapping")["offsets"]]
+    else:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        tok.encode_special_tokens = True
+        places = lambda text: [a for a, _ in tok.encode(text, add_special_tokens=False).offsets]
+
+    def in_bytes(text: str) -> list[int]:
+        at = [0, *accumulate(len(c.encode("utf-8", "surrogatepass")) for c in text)]
+        return [at[i] for i in places(text)]
+
+    return in_bytes
+
+
+def token_sizes(df: DataFrame, *, id: str, text: str, capacity: int | None = None, tokenizer: str = "byte_bpe_multi_50k.tiktoken", folder: str = TOKENIZERS) -> DataFrame:
+    """(id, size): the tokens of each text, whole; null texts are left out.
+
+    With ``capacity`` also (bytes, cuts): the bytes of the text, and for a text of more tokens than that the bytes before its
+    second and further pieces, so that nobody needs to tokenise again to cut it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = token_counter(tokenizer, folder)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(count(b.column("text").to_pylist()), type=pa.int64())], names=["id", "size"])
+            texts = b.column("text").to_pylist()
+            sizes = count(texts)
+            made = [b.column("id"), pa.array(sizes, type=pa.int64())]
+            if capacity is not None:
+                starts = token_starts(tokenizer, folder)
+                cuts = [starts(t)[capacity::capacity] if n > capacity else None for t, n in zip(texts, sizes)]
+                made += [b.column("bytes"), pa.array(cuts, type=pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(made, names=["id", "size", "bytes", "cuts"][: len(made)])
 
     kind = dict(df.dtypes)[id]
-    return df.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()).mapInArrow(run, f"id {kind}, size long")
+    rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.octet_length(text).cast("long").alias("bytes")).where(F.col("text").isNotNull())
+    return rows.mapInArrow(run, f"id {kind}, size long" + (", bytes long, cuts array<long>" if capacity is not None else ""))
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -98,11 +145,15 @@ def pack(sizes: DataFrame, capacity: int, *, containers_per_task: int = 10_000,
     An item of at most ``capacity`` is one piece, part 0. A larger one is cut every ``capacity`` units; its full pieces are
     containers of their own and its rest is packed like any item. ``start`` is the piece's place in its item.
 
+    If ``sizes`` has bytes and cuts for this capacity, pieces also have (from_byte, to_byte), their place in the text; the
+    pieces of a text cover it without gaps.
+
     - Items of null, zero or negative size hold nothing and have no row; a null id is kept as null.
     - Repeated rows are separate items. Equal sizes keep no fixed order. An empty table gives no rows.
     - Further columns are not read. ``container`` is unique over all tasks.
     """
-    rows = durable(sizes.select("id", F.col("size").cast("long").alias("size")).where("size > 0"))
+    placed = {"bytes", "cuts"} <= set(sizes.columns)
+    rows = durable(sizes.select("id", F.col("size").cast("long").alias("size"), *(["bytes", "cuts"] if placed else [])).where("size > 0"))
     total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     tasks = max(1, -(-int(total) // (capacity * containers_per_task)), -(-n // items_per_task))
     # The row number of a written table is the same when a task is run again.
@@ -119,7 +170,17 @@ def pack(sizes: DataFrame, capacity: int, *, containers_per_task: int = 10_000,
         box = np.empty(len(at), dtype=np.int64)
         box[order] = sum_of_squares(length[order], capacity)
         made = [items["id"].combine_chunks().take(pa.array(at)), pa.array(part, pa.int32()), pa.array(part * capacity), pa.array(length), pa.array((key[0].as_py() << 32) + box)]
-        return pa.Table.from_arrays(made, names=["id", "part", "start", "size", "container"])
+        if placed:
+            ends = np.cumsum(pieces)
+            first, last = np.zeros(len(at), dtype=np.int64), items["bytes"].to_numpy()[at]
+            cuts = items["cuts"].combine_chunks()
+            for i in np.flatnonzero(pieces > 1).tolist():
+                to, inner = ends[i], cuts[i].values.to_numpy()
+                first[to - pieces[i] + 1 : to] = inner
+                last[to - pieces[i] : to - 1] = inner
+            made += [pa.array(first), pa.array(last)]
+        return pa.Table.from_arrays(made, names=["id", "part", "start", "size", "container", "from_byte", "to_byte"][: len(made)])
 
     kind = dict(sizes.dtypes)["id"]
-    return rows.groupBy("task").applyInArrow(run, f"id {kind}, part int, start long, size long, container long")
+    more = ", from_byte long, to_byte long" if placed else ""
+    return rows.groupBy("task").applyInArrow(run, f"id {kind}, part int, start long, size long, container long{more}")

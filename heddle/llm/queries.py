@@ -13,7 +13,7 @@ from heddle.llm.leaks import leaked_passages
 from heddle.llm.packing import pack, token_sizes
 from heddle.llm.setjoin import similar_counts, similar_pairs
 from heddle.llm.shapes import list_pages
-from heddle.runtime import table
+from heddle.runtime import durable, table
 
 #: Levels from best to worst.
 LEVELS = ["L3", "L2", "L1", "L?", "L0", "S1", "S0"]
@@ -46,7 +46,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     names = table(spark, d, "lives").select("name").unionByName(table(spark, d, "sites").select("name"))
-    return skeleton_groups(names, column="name").where("spellings > 1")
+    return skeleton_groups(names, column="name").where("spellings > 1").select("example", "spellings", "rows")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -85,8 +85,22 @@ def p7_fused(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_pack(spark: SparkSession, d: str) -> DataFrame:
-    sizes = token_sizes(table(spark, d, "documents"), id="doc_id", text="text")
-    return pack(sizes, CAPACITY).select(F.col("id").alias("doc_id"), "part", "start", F.col("size").alias("tokens"), "container")
+    sizes = token_sizes(table(spark, d, "documents"), id="doc_id", text="text", capacity=CAPACITY)
+    return pack(sizes, CAPACITY).select(F.col("id").alias("doc_id"), "part", "start", F.col("size").alias("tokens"), "container", "from_byte", "to_byte")
+
+
+def p8_covered(spark: SparkSession, d: str) -> DataFrame:
+    """For each document how many bytes its pieces cover, and whether they are sound: without gap or overlap, more than one only
+    if the document is too long for a container, and in containers that hold no more than they can."""
+    pieces = durable(p8_pack(spark, d))
+    over = pieces.groupBy("container").agg(F.sum("tokens").alias("held")).where(F.col("held") > CAPACITY).select("container", F.lit(True).alias("over"))
+    n, size = F.count(F.lit(1)), F.sum("tokens")
+    # Without gaps and overlaps lengths add up to the end, and squares of ends to those of begins and the last end.
+    square = lambda c: (F.col(c) * F.col(c)).cast("decimal(38,0)")
+    joined = F.sum(square("to_byte") - square("from_byte")) == F.max(square("to_byte"))
+    whole = (F.min("from_byte") == 0) & (F.sum(F.col("to_byte") - F.col("from_byte")) == F.max("to_byte")) & joined & (F.max("part") + 1 == n)
+    sound = whole & ((n == 1) | (size > CAPACITY)) & (F.max("tokens") <= CAPACITY) & (F.count("over") == 0)
+    return pieces.join(over, "container", "left").groupBy("doc_id").agg(F.sum(F.col("to_byte") - F.col("from_byte")).alias("bytes"), sound.alias("sound"))
 
 
 def p9_spans(spark: SparkSession, d: str) -> DataFrame:
@@ -102,7 +116,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return list_pages(table(spark, d, "documents"), id="doc_id", text="text").select(F.col("id").alias("doc_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_links, p3_found, p3_forms, p4_found, p4_records, p7_found, p7_fused, p8_pack, p9_found, p9_spans, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_links, p3_found, p3_forms, p4_found, p4_records, p7_found, p7_fused, p8_pack, p8_covered, p9_found, p9_spans, p10_found)}
 
 _GROUPS = """
 e AS (SELECT key AS a, peer_key AS b FROM mirror_groups WHERE is_match AND key <> peer_key
@@ -138,7 +152,7 @@ _WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))), "".join(map(chr, range(0x21, 0
 _BLANKS = "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000\t\n\r"
 _NO_WIDTH = "\u00ad\u034f\u180e\u200b\u200c\u200d\u200e\u200f\u2060\u2061\u2062\u2063\u2064\ufeff\ufe0e\ufe0f"
 _RADICALS = "".join(map(chr, range(0x2F00, 0x2FD6)))
-_LETTERS = [("АВЕКМНОРСТХЅІЈ", "ABEKMHOPCTXSIJ"), ("аеорсухіјѕ", "aeopcyxijs"), ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX"), ("ονρα", "ovpa"), ("ԁԛԝһ", "dqwh"), ("‐‑–", "---"), ("’‘", "\'\'"), ("ɡɑıⅼ", "gail")]
+_LETTERS = [("АВЕКМНОРСТХЅІЈ", "ABEKMHOPCTXSIJ"), ("аеорсухіјѕ", "aeopcyxijs"), ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX"), ("ονρα", "ovpa"), ("ԁԛԝһ", "dqwh"), ("‐‑–", "---"), ("’‘", "\'\'"), ("ɡɑıⅼ", "gail"), ("・‧∙⋅•", "·····")]
 
 
 def _skeleton_form(column: str) -> str:
@@ -174,6 +188,18 @@ SQL = {
             FROM grp LEFT JOIN lv USING (key) LEFT JOIN ms USING (key) LEFT JOIN nm USING (key))
       SELECT DISTINCT group_key, first_value(key) OVER (PARTITION BY group_key ORDER BY rk, ms NULLS LAST, key) AS keep_key,
              first_value(key) OVER (PARTITION BY group_key ORDER BY seen DESC NULLS LAST, key) AS name_key FROM m""",
+    "p8_covered": "SELECT doc_id, strlen(text)::BIGINT AS bytes, true AS sound FROM documents WHERE text <> ''",
+    # Runs are stretches of places, one after the other, whose 50 signs are in the item at the same distance.
+    "p9_spans": """WITH d AS (SELECT doc_id, text, regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g') AS t FROM documents),
+      i AS (SELECT item_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g') AS t FROM eval_items),
+      g AS (SELECT item_id, p AS q, substr(t, p::INT, 50) AS s FROM (SELECT item_id, t, unnest(range(1, length(t) - 48)) AS p FROM i)),
+      h AS (SELECT doc_id, p, substr(t, p::INT, 50) AS s FROM (SELECT doc_id, t, unnest(range(1, length(t) - 48)) AS p FROM d)),
+      m AS (SELECT doc_id, item_id, p, p - q AS far FROM h JOIN g USING (s)),
+      r AS (SELECT doc_id, item_id, min(p) AS a, max(p) + 49 AS z FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, far ORDER BY p) AS isle FROM m) GROUP BY doc_id, item_id, far, isle),
+      c AS (SELECT doc_id, list_filter(range(1, length(text) + 1), lambda k: regexp_matches(cs[k], '[\\p{L}\\p{N}]')) AS spot FROM (SELECT doc_id, text, string_split(text, '') AS cs FROM d WHERE doc_id IN (SELECT doc_id FROM m)))
+      SELECT doc_id, item_id, (spot[a] - 1)::INT AS start_at, spot[z]::INT AS end_at FROM r JOIN c USING (doc_id)""",
+    "p3_forms": f"""WITH r AS (SELECT name FROM lives UNION ALL SELECT name FROM sites), f AS (SELECT name, count(*) AS n FROM r WHERE name IS NOT NULL GROUP BY 1)
+      SELECT min(name) AS example, count(*) AS spellings, sum(n)::BIGINT AS rows FROM (SELECT name, n, {_skeleton_form("name")} AS form FROM f) GROUP BY form HAVING count(*) > 1""",
     "p9_found": """WITH d AS (SELECT doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g') AS t FROM documents),
       i AS (SELECT item_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', '', 'g') AS t FROM eval_items),
       g AS (SELECT DISTINCT item_id, substr(t, p::INT, 50) AS s FROM (SELECT item_id, t, unnest(range(1, length(t) - 48)) AS p FROM i)),

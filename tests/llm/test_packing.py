@@ -87,3 +87,24 @@ def test_sizes(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None), (3, ""), (None, "a b")], "id long, text string")
     got = {r.id: r.size for r in token_sizes(df, id="id", text="text").collect()}
     assert got == {1: 2, 3: 0, None: 2}
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"])
+def test_pieces_are_places_in_the_text(spark, name):
+    """The pieces' bytes are the text again, each of at most the capacity's tokens, whatever signs it has."""
+    texts = {1: "short", 2: "鹿雨 🎬 naïve Ångström <|endoftext|> word " * 40, 3: "x" * 3000, 4: "", 5: "🏮" * 300, 6: "a b " * 8}
+    df = spark.createDataFrame([*texts.items(), (7, None)], "id long, text string")
+    sizes = token_sizes(df, id="id", text="text", capacity=16, tokenizer=name)
+    rows = sorted(map(tuple, pack(sizes, 16).collect()))
+    got = {}
+    for i, part, _, size, _, a, b in rows:
+        assert part == len(got.setdefault(i, [])) and 0 < size <= 16
+        got[i].append(texts[i].encode()[a:b])
+    assert {i: b"".join(x).decode() for i, x in got.items()} == {i: t for i, t in texts.items() if t}
+    assert all(len(got[i]) > 1 for i in (2, 5)) and len(got[1]) == 1
+
+
+def test_places_stay_with_their_items(spark):
+    rows = [(i, s, 7 * s, [7 * k for k in range(10, s, 10)] if s > 10 else None) for i, s in enumerate([35, 10, 3, 11, 100, 1])]
+    df = spark.createDataFrame(rows, "id long, size long, bytes long, cuts array<long>")
+    assert sorted((r.id, r.from_byte, r.to_byte) for r in pack(df, 10).collect()) == sorted((i, 7 * k, 7 * min(k + 10, s)) for i, s, _, _ in rows for k in range(0, s, 10))
