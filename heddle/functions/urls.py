@@ -6,20 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Mirror prefixes that are put before another address.
-PROXY_HOSTS = "ghproxy.net|gh-proxy.com|ghfast.top|mirror.ghproxy.com|ghproxy.com"
+PROXY_HOSTS = ("ghproxy.net", "gh-proxy.com", "ghfast.top", "mirror.ghproxy.com", "ghproxy.com")
 
 
 def text(c: Column) -> Column:
     return F.regexp_replace(F.coalesce(c, F.lit("")), r"^\s+|\s+$", "")
 
 
-def strip_proxy(c: Column, hosts: str = PROXY_HOSTS) -> Column:
+def strip_proxy(c: Column, hosts: tuple[str, ...] = PROXY_HOSTS) -> Column:
     """Without any number of mirror prefixes in front."""
-    quoted = hosts.replace(".", "\\.")
+    quoted = "|".join(h.replace(".", "\\.") for h in hosts)
     return F.regexp_replace(c, rf"^(?i:(?:https?://)?(?:{quoted})/)+(?=https?://)", "")
 
 
-def canonical_url(c: Column, hosts: str = PROXY_HOSTS) -> Column:
+def canonical_url(c: Column, hosts: tuple[str, ...] = PROXY_HOSTS) -> Column:
     """Host and path as an identity: no mirror prefix, scheme, www., default port, fragment or trailing slash; host in
     lower case, path and query as they are."""
     u = F.regexp_replace(strip_proxy(text(c), hosts), r"(?s)(?:/+#|#).*$|/+$", "")
@@ -107,7 +107,11 @@ def miss_reason(code: Column, path: Column, html: Column) -> Column:
     return F.when(file & code.isin(404, 410), F.concat(F.lit("gone-"), code.cast("string"))).when(file & html, "lander-html").otherwise("")
 
 
-def harvest_links(c: Column, most: int = 200) -> Column:
-    """Distinct links in a text, trailing punctuation off, at most ``most``."""
+def harvest_links(c: Column, *, keep: str | None = None, drop: str | None = None) -> Column:
+    """The distinct links in a text in their order, trailing punctuation off; only those that ``keep`` finds something in and
+    ``drop`` finds nothing in (regular expressions)."""
     found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(https?://[^\s<>\"'()\[\]，。、；]+)"), F.lit(1))
-    return F.slice(F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, r"[.,;:!?]+$", ""))), 1, most)
+    links = F.array_distinct(F.transform(found, lambda u: F.regexp_replace(u, r"[.,;:!?]+$", "")))
+    if keep is not None:
+        links = F.filter(links, lambda u: u.rlike(keep))
+    return F.filter(links, lambda u: ~u.rlike(drop)) if drop is not None else links

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heddle.functions.names import norm_key
+from heddle.functions.names import norm_key, title_norm
 from heddle.functions.urls import canonical_url, harvest_links, host_of, norm_api, text
 from heddle.operators.dedup import first_wins
+from heddle.operators.history import upper_median
+from heddle.runtime import durable
 
 #: Hosts that are never the real target of a site.
 BAD_HOST = r"^https?://(?:[^/]*github|[^/]*gitee|localhost|127\.|[^/]*example\.com)"
@@ -111,10 +113,19 @@ def alias_merge(existing: DataFrame, new: DataFrame, *, alias: str, target: str)
     return existing.select(alias, target).unionByName(add.join(existing.select(alias), alias, "left_anti"))
 
 
+def fresh_rounds(df: DataFrame, *, at: str, as_of: str, days: int = 3) -> DataFrame:
+    """Rounds not older than ``days`` at ``as_of``; rounds without a readable time are as old as can be."""
+    when = F.try_to_timestamp(F.col(at).cast("string"))
+    return df.where(when >= F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(days)))
+
+
 def round_winner(df: DataFrame, *, item: str, round: str, value: str, least: int = 2) -> DataFrame:
-    """(item, rounds, median): items in at least ``least`` rounds with their upper median, best first."""
-    g = df.groupBy(item).agg(F.count_distinct(round).alias("rounds"), F.sort_array(F.collect_list(value)).alias("__v"))
-    return g.where(F.col("rounds") >= least).select(item, "rounds", F.element_at("__v", (F.floor(F.size("__v") / 2) + 1).cast("int")).alias("median")).orderBy(F.desc("median"), item)
+    """(item, rounds, median): items in at least ``least`` rounds with their upper median, best first.
+
+    Rounds and values are counted, not collected, so an item may have any number of them.
+    """
+    rounds = df.groupBy(item).agg(F.count_distinct(round).alias("rounds")).where(F.col("rounds") >= least)
+    return rounds.join(upper_median(df, item, value), item).select(item, "rounds", "median").orderBy(F.desc("median"), item)
 
 
 def protect(candidates: DataFrame, live: DataFrame, *, path: str) -> DataFrame:
@@ -134,8 +145,8 @@ def two_phase_duplicates(df: DataFrame, *, path: str, size: str, content: str) -
 
 def rotation_decide(df: DataFrame, *, name: str) -> DataFrame:
     """(name, action): the greatest name stays, others are untracked."""
-    top = df.agg(F.max(name).alias("__m"))
-    return df.join(F.broadcast(top)).select(name, F.when(F.col(name) == F.col("__m"), "keep").otherwise("untrack").alias("action"))
+    top = df.agg(F.max(name)).first()[0]
+    return df.select(name, F.when(F.col(name) == F.lit(top), "keep").otherwise("untrack").alias("action"))
 
 
 def artefact_age(at: Column, now: str) -> Column:
@@ -165,15 +176,20 @@ def alert_once(current: DataFrame, sent: DataFrame, *, metric: str, value: str,
     return current.join(s, metric, "left").select(metric, F.coalesce(over & F.col("__sent").isNull(), F.lit(False)).alias("alert"))
 
 
-def layered_dedup(sites: DataFrame, sources: DataFrame, *, order: str) -> DataFrame:
-    """(layer, rows) after each layer: raw, decay filter on the source, key and api, then fingerprint (type, api, jar).
+def layered_dedup(sites: DataFrame, sources: DataFrame, lives: DataFrame, *, order: str) -> DataFrame:
+    """(layer, rows) after each layer: raw, decay filter on the source, key and api, fingerprint (type, api, jar), and last
+    the live entries by normalised name and address.
 
-    ``sources`` has name and decayed. One pass over the rows: both later layers are aggregates over distinct keys.
+    ``sources`` has name and decayed; ``lives`` has name, url, src and live_id. Each layer is written once and read by the
+    next, so no layer is worked out twice.
     """
-    live = sites.join(sources.where("decayed").select(F.col("name").alias("src")), "src", "left_anti")
-    l1 = first_wins(live.withColumn("__nk", norm_key(F.col("key"))).where("__nk <> ''"), [F.col("__nk"), norm_api(F.col("api"))], [order])
+    gone = sources.where("decayed").select(F.col("name").alias("src"))
+    live = sites.join(gone, "src", "left_anti")
+    l1 = durable(first_wins(live.withColumn("__nk", norm_key(F.col("key"))).where("__nk <> ''"), [F.col("__nk"), norm_api(F.col("api"))], [order]))
     l2 = first_wins(l1, [F.col("type"), norm_api(F.col("api")), F.coalesce("jar", F.lit(""))], [order])
-    layers = [("raw", sites), ("decay", live), ("key", l1), ("fingerprint", l2)]
+    there = lives.join(gone, "src", "left_anti").where(F.trim(F.coalesce("url", F.lit(""))) != "")
+    l3 = first_wins(there, [title_norm(F.col("name")), F.trim("url")], ["live_id"])
+    layers = [("raw", sites), ("decay", live), ("key", l1), ("fingerprint", l2), ("lives", l3)]
     out = None
     for i, (name, df) in enumerate(layers):
         one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("layer"), F.lit(name).alias("layer_name"), "n")

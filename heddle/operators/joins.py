@@ -167,6 +167,13 @@ def symmetric_fields(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(F.array_except(a, b), F.array_except(b, a)))
 
 
+def symmetric_count(a: DataFrame, b: DataFrame, *, by: str, item: str) -> DataFrame:
+    """(by, n): for each group how many items just one of two tables has. Items are flagged and counted, never collected."""
+    tagged = a.select(by, item, F.lit(1).alias("__s")).unionByName(b.select(by, item, F.lit(2).alias("__s")))
+    sides = tagged.groupBy(by, item).agg(F.bit_or("__s").alias("__s"))
+    return sides.groupBy(by).agg(F.count_if(F.col("__s") != 3).alias("n"))
+
+
 def top_per(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     """At most ``k`` rows of each group; a group limit before the shuffle keeps hot groups small."""
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= k).drop("__n")

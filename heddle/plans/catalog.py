@@ -123,7 +123,8 @@ def alerts_once(spark: SparkSession, d: str) -> DataFrame:
 
 def layer_counts(spark: SparkSession, d: str) -> DataFrame:
     src = table(spark, d, "sites").groupBy(F.col("src").alias("name")).agg((F.count(F.lit(1)) % 5 == 0).alias("decayed"))
-    return catalog.layered_dedup(table(spark, d, "sites").select("row_id", "src", "key", "api", "type", "jar"), src, order="row_id")
+    lives = table(spark, d, "lives").select("live_id", "src", "name", "url")
+    return catalog.layered_dedup(table(spark, d, "sites").select("row_id", "src", "key", "api", "type", "jar"), src, lives, order="row_id")
 
 
 def annotated_changes(spark: SparkSession, d: str) -> DataFrame:
@@ -218,7 +219,8 @@ def _sql() -> dict[str, str]:
         "alerts_once": "SELECT m AS metric, n > 600 AND NOT (m LIKE 'd%' AND n % 2 = 0) AS alert FROM (SELECT coalesce(health, 'none') AS m, count(*) AS n FROM interfaces GROUP BY 1)",
         "layer_counts": f"""WITH d AS (SELECT src FROM sites GROUP BY 1 HAVING count(*) % 5 = 0), l AS (SELECT * FROM sites WHERE src IS NULL OR src NOT IN (SELECT src FROM d WHERE src IS NOT NULL)), k AS (SELECT min(row_id) AS row_id FROM (SELECT row_id, {_NK} AS nk, {na} AS na FROM l) WHERE nk <> '' GROUP BY nk, na),
           f AS (SELECT min(row_id) AS row_id FROM l JOIN k USING (row_id) GROUP BY type, {na}, coalesce(jar, ''))
-          SELECT 0 AS layer, 'raw' AS layer_name, count(*) AS n FROM sites UNION ALL SELECT 1, 'decay', count(*) FROM l UNION ALL SELECT 2, 'key', count(*) FROM k UNION ALL SELECT 3, 'fingerprint', count(*) FROM f""",
+          SELECT 0 AS layer, 'raw' AS layer_name, count(*) AS n FROM sites UNION ALL SELECT 1, 'decay', count(*) FROM l UNION ALL SELECT 2, 'key', count(*) FROM k UNION ALL SELECT 3, 'fingerprint', count(*) FROM f
+          UNION ALL SELECT 4, 'lives', count(*) FROM (SELECT DISTINCT lower(regexp_replace(coalesce(name, ''), '[^\\p{{L}}\\p{{N}}]+', '', 'g')), trim(url) FROM lives WHERE trim(coalesce(url, '')) <> '' AND (src IS NULL OR src NOT IN (SELECT src FROM d WHERE src IS NOT NULL)))""",
         "annotated_changes": f"""SELECT src, count(*) FILTER ({_NK} <> coalesce(key, '') OR {NORMAL_NAME} <> coalesce(name, '')) AS changed, count(DISTINCT lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.\\-]*://(?:[^/?#@]*@)?([^/?#]*)', 1))) AS hosts FROM sites GROUP BY 1""",
         "parse_ranking": f"""WITH p AS (SELECT {end} AS u, arg_min({{'s': ['ok', 'ad_warn', 'unreachable', 'placeholder'][probe_id % 4 + 1], 'ms': ms}}, probe_id) AS r FROM sites_probe GROUP BY 1), s AS (SELECT row_id, CASE WHEN type = 1 THEN 0 ELSE 1 END AS pref, {end} AS u FROM sites)
           SELECT row_id, CASE r.s WHEN 'ok' THEN 0 WHEN 'placeholder' THEN 1 WHEN 'ad_warn' THEN 3 WHEN 'unreachable' THEN 4 ELSE 2 END AS rank, coalesce(nullif(r.ms, 0), 999999) AS ms, pref FROM s LEFT JOIN p USING (u) ORDER BY rank, ms, pref, row_id""",

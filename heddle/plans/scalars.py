@@ -111,7 +111,7 @@ def channel_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def link_harvest(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("source", F.explode(urls.harvest_links(F.col("text"), 1_000_000)).alias("url"))
+    docs = table(spark, d, "documents").select("source", F.explode(urls.harvest_links(F.col("text"))).alias("url"))
     return docs.where(~F.col("url").contains(".test/")).groupBy("url").agg(F.count_distinct("source").alias("sources"), F.min("source").alias("first_source"))
 
 

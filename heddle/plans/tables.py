@@ -185,8 +185,11 @@ def upper_median(spark: SparkSession, d: str) -> DataFrame:
 
 def source_summary(spark: SparkSession, d: str) -> DataFrame:
     dead = table(spark, d, "interfaces").where("health = 'dead'").select("key").distinct().withColumn("dead", F.lit(True))
-    t = table(spark, d, "sites").join(dead, "key", "left")
-    return t.groupBy("src").agg(F.count_if(F.col("dead").isNull()).alias("kept"), F.count_if("dead").alias("dropped"), F.array_join(F.slice(F.array_sort(F.collect_set(F.when(F.col("dead"), F.col("key")))), 1, 3), ",").alias("sample"))
+    t = table(spark, d, "sites").select("src", "key").join(dead, "key", "left")
+    counts = t.groupBy("src").agg(F.count_if(F.col("dead").isNull()).alias("kept"), F.count_if("dead").alias("dropped"))
+    first = joins.top_per(t.where("dead").select("src", "key").distinct(), ["src"], [F.asc("key")], 3)  # at most three a source
+    sample = first.groupBy(F.col("src").alias("__src")).agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("sample"))
+    return counts.join(sample, F.col("src").eqNullSafe(F.col("__src")), "left").select("src", "kept", "dropped", F.coalesce("sample", F.lit("")).alias("sample"))
 
 
 def set_union_refs(spark: SparkSession, d: str) -> DataFrame:
@@ -196,8 +199,8 @@ def set_union_refs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def set_symdiff(spark: SparkSession, d: str) -> DataFrame:
-    sets = table(spark, d, "interfaces").where("health = 'dead'").groupBy("source").agg(F.collect_set("key").alias("k"), F.collect_set(F.when(F.col("snapshot_date") == AFTER, F.col("key"))).alias("last"))
-    return sets.select("source", F.size(joins.symmetric_fields(F.col("k"), F.col("last"))).alias("n"))
+    dead = table(spark, d, "interfaces").where("health = 'dead' and key is not null")
+    return joins.symmetric_count(dead.select("source", "key"), dead.where(F.col("snapshot_date") == AFTER).select("source", "key"), by="source", item="key").select("source", F.col("n").cast("int"))
 
 
 # Deduplication
