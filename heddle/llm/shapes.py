@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 #: Scripts without spaces between words, by their blocks: first alphabets (Thai to Tibetan, Myanmar, Khmer), in which about
 #: five signs make a word, then kana, bopomofo and ideographs, in which two do.
+_FIRST_UNSPACED = "\u0e00"
 _ALPHABETS = "฀-࿿က-႟ក-៿"
 _UNSPACED = "฀-࿿က-႟ក-៿ぁ-ヿㄅ-ㄯ㐀-䶿一-鿿豈-﫿\U00020000-\U0003ffff"
 #: Signs inside words that count as no letters: combining accents and points, and the vowel signs of Indic scripts.
@@ -71,14 +72,14 @@ class ShapeConfig:
 
 def _units(words: list[str]) -> list:
     """Pairs of neighbouring words; within a run of an unspaced script all its stretches of two signs, or five of an alphabet."""
-    if not any(map(_UNSPACED_AT.match, words)):
-        return list(zip(words, words[1:]))
     out: list = []
     last = None
     for w in words:
-        if _UNSPACED_AT.match(w):
-            k = 5 if _ALPHABET_AT.match(w) else 2
-            out += [w[i : i + k] for i in range(max(1, len(w) - k + 1))]
+        if w[0] >= _FIRST_UNSPACED and _UNSPACED_AT.match(w):
+            if _ALPHABET_AT.match(w):
+                out += [w[i : i + 5] for i in range(max(1, len(w) - 4))]
+            else:
+                out += map(str.__add__, w, w[1:]) if len(w) > 1 else w
             last = None
         else:
             if last is not None:
@@ -89,11 +90,15 @@ def _units(words: list[str]) -> list:
 
 def _repeats(units: list, words: list[str], c: ShapeConfig) -> bool:
     """Whether a piece says the same again and again. Taken over stretches of a hundred, since any long text repeats itself."""
-    pairs = sum(len(x) - len(set(x)) for x in (units[i : i + 100] for i in range(0, len(units), 100)))
-    if pairs >= c.again * len(units):
+    if _again(units) >= c.again * len(units):
         return True
-    single = sum(len(x) - len(set(x)) for x in (words[i : i + 100] for i in range(0, len(words), 100)))
-    return len(words) >= 2 * c.run and single >= c.same * len(words)
+    return len(words) >= 2 * c.run and _again(words) >= c.same * len(words)
+
+
+def _again(items: list) -> int:
+    if len(items) <= 100:
+        return len(items) - len(set(items))
+    return sum(len(x) - len(set(x)) for x in (items[i : i + 100] for i in range(0, len(items), 100)))
 
 
 def shape_of(piece: str, c: ShapeConfig = ShapeConfig(), alone: bool = True) -> tuple[str, str, list]:
@@ -110,13 +115,12 @@ def shape_of(piece: str, c: ShapeConfig = ShapeConfig(), alone: bool = True) ->
         pairs = [len(x) for x in _PAIR.findall(piece)]
         if len(pairs) >= 3 and sum(pairs) * 3 >= n:
             return "list", "pairs", []
-    if rest.isascii():
-        words, blocks = _ASCII_WORD.findall(rest), []
-        size = float(len(words))
-    else:
-        words = _WORD.findall(rest)
-        blocks = [w for w in words if _UNSPACED_AT.match(w)]
-        size = len(words) - len(blocks) + sum(len(w) / (5 if _ALPHABET_AT.match(w) else 2) for w in blocks)
+    find, blocks = (_ASCII_WORD if rest.isascii() else _WORD).findall, []
+    low = find(rest.lower())
+    size = float(len(low))
+    if not rest.isascii():
+        blocks = [w for w in low if w[0] >= _FIRST_UNSPACED and _UNSPACED_AT.match(w)]
+        size += sum(len(w) / (5 if _ALPHABET_AT.match(w) else 2) - 1 for w in blocks)
     ends = bool(_ENDS.search(piece))
     parts = [f for f in _FIELDS.split(rest) if f.strip()]
     if len(parts) >= c.fields * (1 + ends) and size <= c.field_words * len(parts):
@@ -125,15 +129,14 @@ def shape_of(piece: str, c: ShapeConfig = ShapeConfig(), alone: bool = True) ->
         apart = [x for x in rest.split() if _UNSPACED_AT.match(x)]
         if len(apart) >= c.fields and sum(len(x) / (5 if _ALPHABET_AT.match(x) else 2) for x in apart) <= c.field_words * len(apart):
             return "list", "fields", []
-    low = [w.lower() for w in words]
-    units = _units(low)
+    units = _units(low) if blocks else list(zip(low, low[1:]))
     if size >= c.run and _repeats(units, low, c):
         return "list", "run", []
     if size <= c.short and (alone or not ends):
-        caps = "".join("W" if w[0].isupper() else "0" if w[0].isdigit() else f"c{min(len(w), 12)}" if _UNSPACED_AT.match(w) else "w" for w in words[:8])
+        caps = "".join("W" if w[0].isupper() else "0" if w[0].isdigit() else f"c{min(len(w), 12)}" if _UNSPACED_AT.match(w) else "w" for w in find(rest)[:8])
         return "short", caps + ("s" if len(parts) > 1 else ""), []
-    if not ends and len(words) >= c.short:
-        cased = [w for w in words if w[0].lower() != w[0].upper()]
+    if not ends and len(low) >= c.short:
+        cased = [w for w in find(rest) if w[0].lower() != w[0].upper()]
         if len(cased) >= c.short and sum(w[0].isupper() for w in cased) >= c.caps * len(cased):
             return "list", "names", []
     return "sentence", "sentence", units
