@@ -25,64 +25,57 @@ TOKENIZERS = "/opt/tokenizers"
 BYTE_BPE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-@lru_cache(maxsize=4)
-def token_counter(name: str, folder: str) -> Callable[[list[str]], list[int]]:
-    """Counts tokens with the vocabulary file ``name`` of ``folder``; one is held by each Python worker."""
-    path = f"{folder}/{name}"
-    if name.endswith(".tiktoken"):
-        import tiktoken
+class Tokenizer:
+    """A vocabulary file: encodings of texts, how many tokens an encoding has, and where in the UTF-8 bytes of its text each
+    token begins (it may begin inside a character)."""
+
+    def __init__(self, path: str):
+        self.encode: Callable[[list[str]], list]
+        self.size: Callable[[object], int] = len
+        self.starts: Callable[[str, object], list[int]]
+        if path.endswith(".tiktoken"):
+            import tiktoken
+
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            enc = tiktoken.Encoding("own", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+            width = {v: len(k) for k, v in ranks.items()}
+            self.encode = lambda texts: [enc.encode_ordinary(t) for t in texts]
+            self.starts = lambda text, e: [0, *accumulate(width[x] for x in e)][:-1]
+        elif path.endswith(".model"):
+            import sentencepiece
+
+            sp = sentencepiece.SentencePieceProcessor(model_file=path)
+            self.encode = lambda texts: sp.encode(texts, num_threads=1) if texts else []
+            self.starts = lambda text, e: _in_bytes(text, [a for a, _ in sp.encode(text, out_type="offset_mapping")["offsets"]])
+        else:
+            import os
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        enc = tiktoken.Encoding("own", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [len(enc.encode_ordinary(t)) for t in texts]
-    if name.endswith(".model"):
-        import sentencepiece
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer as Own
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: [len(x) for x in sp.encode(texts, num_threads=1)] if texts else []
-    import os
+            tok = Own.from_file(path)
+            tok.encode_special_tokens = True
+            self.encode = lambda texts: tok.encode_batch(texts, add_special_tokens=False) if texts else []
+            self.size = lambda e: len(e.ids)
+            self.starts = lambda text, e: _in_bytes(text, [a for a, _ in e.offsets])
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
-    return lambda texts: [len(x.ids) for x in tok.encode_batch(texts, add_special_tokens=False)] if texts else []
+def _in_bytes(text: str, places: list[int]) -> list[int]:
+    at = [0, *accumulate(len(c.encode("utf-8", "surrogatepass")) for c in text)]
+    return [at[i] for i in places]
 
 
 @lru_cache(maxsize=4)
-def token_starts(name: str, folder: str) -> Callable[[str], list[int]]:
-    """The place in the UTF-8 bytes of a text where each of its tokens begins; a token may begin inside a character."""
-    path = f"{folder}/{name}"
-    if name.endswith(".tiktoken"):
-        import tiktoken
-
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        enc = tiktoken.Encoding("own", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=ranks, special_tokens={})
-        width = {v: len(k) for k, v in ranks.items()}
-        return lambda text: [0, *accumulate(width[x] for x in enc.encode_ordinary(text))][:-1]
-    if name.endswith(".model"):
-        import sentencepiece
+def tokenizer_of(name: str, folder: str) -> Tokenizer:
+    """The tokenizer in the vocabulary file ``name`` of ``folder``; one is held by each Python worker."""
+    return Tokenizer(f"{folder}/{name}")
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        places = lambda text: [a for a, _ in sp.encode(text, out_type="offset_mapping")["offsets"]]
-    else:
-        import os
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True
-        places = lambda text: [a for a, _ in tok.encode(text, add_special_tokens=False).offsets]
-
-    def in_bytes(text: str) -> list[int]:
-        at = [0, *accumulate(len(c.encode("utf-8", "surrogatepass")) for c in text)]
-        return [at[i] for i in places(text)]
-
-    return in_bytes
+def token_counter(name: str, folder: str) -> Callable[[list[str]], list[int]]:
+    """Counts the tokens of texts."""
+    tok = tokenizer_of(name, folder)
+    return lambda texts: [tok.size(e) for e in tok.encode(texts)]
 
 
 def token_sizes(df: DataFrame, *, id: str, text: str, capacity: int | None = None, tokenizer: str = "byte_bpe_multi_50k.tiktoken", folder: str = TOKENIZERS) -> DataFrame:
@@ -93,14 +86,17 @@ def token_sizes(df: DataFrame, *, id: str, text: str, capacity: int | None = Non
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = token_counter(tokenizer, folder)
+        tok = tokenizer_of(tokenizer, folder)
         for b in batches:
             texts = b.column("text").to_pylist()
-            sizes = count(texts)
+            sizes: list[int] = []
+            cuts: list[list[int] | None] = []
+            for some in (texts[i : i + 64] for i in range(0, len(texts), 64)):  # few encodings are held at a time
+                for t, e in zip(some, tok.encode(some)):
+                    sizes.append(tok.size(e))
+                    cuts.append(tok.starts(t, e)[capacity::capacity] if capacity is not None and sizes[-1] > capacity else None)
             made = [b.column("id"), pa.array(sizes, type=pa.int64())]
             if capacity is not None:
-                starts = token_starts(tokenizer, folder)
-                cuts = [starts(t)[capacity::capacity] if n > capacity else None for t, n in zip(texts, sizes)]
                 made += [b.column("bytes"), pa.array(cuts, type=pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(made, names=["id", "size", "bytes", "cuts"][: len(made)])
 
