@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +32,38 @@ def canonical_hash(*columns: str) -> Column:
     return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
 
 
+def canonical_json(c: Column) -> Column:
+    """A JSON text in one form: keys sorted at every depth, texts trimmed, no blanks between; null for text that isn't JSON.
+
+    Arrow batches, since no built-in sorts the keys of documents of any shape.
+    """
+    import json
+
+    def tidy(x: object) -> object:
+        if isinstance(x, dict):
+            return {k: tidy(v) for k, v in sorted(x.items())}
+        if isinstance(x, list):
+            return [tidy(v) for v in x]
+        return x.strip() if isinstance(x, str) else x
+
+    def one(t: str) -> str | None:
+        try:
+            return json.dumps(tidy(json.loads(t)), ensure_ascii=False, separators=(",", ":"))
+        except (ValueError, RecursionError):
+            return None
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(one, na_action="ignore")
+
+    return run(c)
+
+
+def canonical_json_hash(c: Column) -> Column:
+    """sha256 of :func:`canonical_json`."""
+    return F.sha2(canonical_json(c), 256)
+
+
 def failure_fingerprint(*parts: Column) -> Column:
     return F.substr(F.sha1(F.concat_ws("|", *parts)), F.lit(1), F.lit(8))
 

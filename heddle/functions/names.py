@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.functions.urls import text
@@ -32,6 +32,18 @@ def normalize_name(c: Column, trad: tuple[str, str] = TRAD) -> Column:
     return F.regexp_replace(F.lower(n), r"[\s_\-·•|┃.]+", "")
 
 
+def traditional_table(spark: SparkSession) -> tuple[str, str]:
+    """All single traditional characters and their simplified forms, as the ICU library in Spark's JVM has them; the few of
+    ``TRAD`` where it is missing."""
+    try:
+        simple = spark.sparkContext._jvm.com.ibm.icu.text.Transliterator.getInstance("Traditional-Simplified")
+    except TypeError:  # no such class
+        return TRAD
+    chars = [chr(i) for i in (*range(0x3400, 0xA000), *range(0xF900, 0xFB00))]
+    pairs = [(a, b) for a, b in zip(chars, simple.transliterate("\n".join(chars)).split("\n"), strict=True) if a != b and len(b) == 1]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def latency_label(c: Column) -> Column:
     """N of a [Nms] label; null without one."""
     return F.nullif(F.regexp_extract(c, r"\[(\d{1,9})ms", 1), F.lit("")).try_cast("int")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +31,21 @@ def target_of(api: Column, ext: Column, bad: str = BAD_HOST) -> Column:
     return F.struct(F.coalesce(e, a).alias("target"), source.alias("source"))
 
 
+def collect_links(parts: list[tuple[DataFrame, str, Column]], *, order: str) -> DataFrame:
+    """(url, categories, name) of links from several tables, each once with the sorted set of its categories and its first name.
+
+    Each part is (table with url and name, kind, category); ``order`` is a column that ranks rows within a part, and parts
+    rank in the order given. Links are made distinct with their category before they are brought together, so a link in many
+    rows has as many entries as categories.
+    """
+    every = None
+    for i, (df, kind, category) in enumerate(parts):
+        rows = df.select("url", F.concat_ws(":", F.lit(kind), category).alias("category"), "name", F.struct(F.lit(i).alias("part"), F.col(order).cast("long").alias("at")).alias("o"))
+        every = rows if every is None else every.unionByName(rows)
+    one = every.where("url <> ''").groupBy("url", "category").agg(F.min_by("name", "o").alias("name"), F.min("o").alias("o"))
+    return one.groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"), F.min_by("name", "o").alias("name"))
+
+
 def locate_sites(doc: Column) -> Column:
     """The site list of a JSON document as a variant array: sites, data.sites, video, or a bare array of things with an api."""
     v = F.try_parse_json(doc)
@@ -77,6 +95,64 @@ def rewrite_segments(c: Column, local: Column, failed: Column) -> Column:
     return F.nullif(F.array_join(F.transform(parts, lambda p: F.coalesce(F.try_element_at(local, p), p)), "$$$"), F.lit(""))
 
 
+def rewrite_documents(df: DataFrame, *, id: str, column: str, local: dict[str, str], failed: set[str]) -> DataFrame:
+    """(id, text, removed): JSON documents with references replaced by their local names at any depth.
+
+    In a value with $$$ each part is replaced by what stands before its first ;, keeping the rest; failed parts are dropped.
+    An element of a list named ``sites`` that refers to something failed is removed whole, and ``removed`` counts those.
+    Texts that are no JSON come back as they are, nulls as null. ``local`` and ``failed`` go to the workers with the task.
+    """
+    import json
+
+    bare = lambda part: part.split(";")[0].strip()
+
+    def value(text: str) -> str:
+        if text.strip() in local:
+            return local[text.strip()]
+        if "$$$" not in text:
+            return text
+        return "$$$".join(local[bare(p)] + p[len(bare(p)) :] if bare(p) in local else p for p in text.split("$$$") if bare(p) in local or bare(p) not in failed)
+
+    def broken(site: object) -> bool:
+        texts = [x for x in site.values() if isinstance(x, str)] if isinstance(site, dict) else []
+        return any(x.strip() in failed or ("$$$" in x and any(bare(p) in failed for p in x.split("$$$"))) for x in texts)
+
+    def walk(doc: object) -> tuple[object, int]:
+        """Rewrites a document level by level from a stack of places, so depth is no limit."""
+        top, gone = [doc], 0
+        todo: list[tuple[object, object, bool]] = [(top, 0, False)]
+        while todo:
+            holder, place, sites = todo.pop()
+            x = holder[place]
+            if isinstance(x, str):
+                holder[place] = value(x)
+            elif isinstance(x, dict):
+                holder[place] = made = dict(x)
+                todo += [(made, k, k == "sites") for k in made]
+            elif isinstance(x, list):
+                holder[place] = made = [y for y in x if not (sites and broken(y))]
+                gone += len(x) - len(made)
+                todo += [(made, i, sites) for i in range(len(made))]
+        return top[0], gone
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, removed = [], []
+            for t in b.column("t").to_pylist():
+                try:
+                    doc, gone = walk(json.loads(t)) if t is not None else (None, 0)
+                except (ValueError, RecursionError):
+                    doc, gone = None, 0
+                else:
+                    t = json.dumps(doc, ensure_ascii=False) if t is not None else None
+                texts.append(t)
+                removed.append(gone)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(texts, pa.string()), pa.array(removed, pa.int32())], names=["id", "text", "removed"])
+
+    kind = dict(df.dtypes)[id]
+    return df.select(F.col(id).alias("id"), F.col(column).alias("t")).mapInArrow(run, f"id {kind}, text string, removed int")
+
+
 def segment_label(c: Column, words: str) -> Column:
     """Whether any part of a name between slashes is exactly one of the words (a regular expression)."""
     return F.exists(F.split(F.coalesce(c, F.lit("")), "/"), lambda s: F.trim(s).rlike(f"^(?:{words})$"))
@@ -176,9 +252,9 @@ def alert_once(current: DataFrame, sent: DataFrame, *, metric: str, value: str,
     return current.join(s, metric, "left").select(metric, F.coalesce(over & F.col("__sent").isNull(), F.lit(False)).alias("alert"))
 
 
-def layered_dedup(sites: DataFrame, sources: DataFrame, lives: DataFrame, *, order: str) -> DataFrame:
-    """(layer, rows) after each layer: raw, decay filter on the source, key and api, fingerprint (type, api, jar), and last
-    the live entries by normalised name and address.
+def layered_dedup(sites: DataFrame, sources: DataFrame, lives: DataFrame | None = None, *, order: str) -> DataFrame:
+    """(layer, rows) after each layer: raw, decay filter on the source, key and api, fingerprint (type, api, jar), and,
+    if given, the live entries by normalised name and address.
 
     ``sources`` has name and decayed; ``lives`` has name, url, src and live_id. Each layer is written once and read by the
     next, so no layer is worked out twice.
@@ -187,9 +263,10 @@ def layered_dedup(sites: DataFrame, sources: DataFrame, lives: DataFrame, *, ord
     live = sites.join(gone, "src", "left_anti")
     l1 = durable(first_wins(live.withColumn("__nk", norm_key(F.col("key"))).where("__nk <> ''"), [F.col("__nk"), norm_api(F.col("api"))], [order]))
     l2 = first_wins(l1, [F.col("type"), norm_api(F.col("api")), F.coalesce("jar", F.lit(""))], [order])
-    there = lives.join(gone, "src", "left_anti").where(F.trim(F.coalesce("url", F.lit(""))) != "")
-    l3 = first_wins(there, [title_norm(F.col("name")), F.trim("url")], ["live_id"])
-    layers = [("raw", sites), ("decay", live), ("key", l1), ("fingerprint", l2), ("lives", l3)]
+    layers = [("raw", sites), ("decay", live), ("key", l1), ("fingerprint", l2)]
+    if lives is not None:
+        there = lives.join(gone, "src", "left_anti").where(F.trim(F.coalesce("url", F.lit(""))) != "")
+        layers.append(("lives", first_wins(there, [title_norm(F.col("name")), F.trim("url")], ["live_id"])))
     out = None
     for i, (name, df) in enumerate(layers):
         one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("layer"), F.lit(name).alias("layer_name"), "n")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heddle.functions.names import norm_key, quality_score, upstream_tag
 from heddle.functions.urls import norm_api
+from heddle.operators.history import rank_in_pieces
 
 
 def first_wins(df: DataFrame, keys: list[Column], order: list[str]) -> DataFrame:
@@ -30,12 +31,15 @@ def rename_keys(df: DataFrame, *, key: str, api: str, order: list[str]) -> DataF
     """Same normalised key: an api seen before is dropped, another api gets the key with a suffix -2, -3, ...
 
     The first holder of a key keeps it as it was written. Normalised keys hold no hyphen, so a suffix can't be taken.
-    Distinct (key, api) pairs are ranked, so the window holds apis of a key, not rows.
+    Distinct (key, api) pairs are ranked, so the window holds apis of a key, not rows. With one whole-number column in
+    ``order`` the ranks of a key are counted up over pieces of it, so a key with any number of apis is spread over tasks.
     """
     rows = df.withColumn("__nk", norm_key(F.col(key))).withColumn("__na", norm_api(F.col(api))).where("__nk <> ''")
     kept = first_wins(rows, [F.col("__nk"), F.col("__na")], order)
-    w = Window.partitionBy("__nk").orderBy(*order)
-    ranked = kept.withColumn("__r", F.row_number().over(w))
+    if len(order) == 1 and dict(df.dtypes)[order[0]] in ("int", "bigint", "smallint"):
+        ranked = rank_in_pieces(kept, by=["__nk"], order=order[0], name="__r")
+    else:
+        ranked = kept.withColumn("__r", F.row_number().over(Window.partitionBy("__nk").orderBy(*order)))
     return ranked.withColumn("new_key", F.when(F.col("__r") == 1, F.col(key)).otherwise(F.concat("__nk", F.lit("-"), F.col("__r").cast("string")))).drop("__nk", "__na", "__r")
 
 

@@ -25,6 +25,25 @@ def gate(df: DataFrame, *, by: str, success: str, order: list[Column], days: int
     return full.select(by, (reason == "").alias("admitted"), reason.alias("reason"))
 
 
+def promotion(entries: DataFrame, probes: DataFrame, *, id: str, channel: str, label: str, quarantined: DataFrame, success: str, at: str, as_of: str, days: int = 7, max_failures: int = 1, rate: tuple[int, int] = (8, 10), reject_after: int = 21) -> DataFrame:
+    """(id, action, reason) of entries on trial, by gates in this order: quarantined channel, label, too few observations,
+    failures among the last ``days``, share of successes. All passed promotes; else an entry first seen ``reject_after`` or more
+    days before ``as_of`` is rejected, others stay on trial. Observations without a result don't count.
+
+    ``entries`` has id, channel and label (null for none), ``quarantined`` has channel.
+    """
+    ranked = last_n(probes.where(F.col(success).isNotNull()).select(id, success, at), id, [F.desc(at)], days)
+    stats = ranked.groupBy(id).agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col(success)).alias("__ok"))
+    first = probes.groupBy(id).agg(F.min(at).alias("__first"))
+    out = quarantined.select(F.col(channel).alias("__c")).where("__c <> ''").distinct()
+    full = entries.join(stats, id, "left").join(first, id, "left").join(out, F.col(channel) == F.col("__c"), "left")
+    n, ok = F.coalesce("__n", F.lit(0)), F.coalesce("__ok", F.lit(0))
+    gates = F.when(F.col("__c").isNotNull(), "quarantine").when(F.col(label).isNotNull(), "label").when(n < days, "days")
+    reason = gates.when(n - ok > max_failures, "failures").when(ok * rate[1] < n * rate[0], "rate").otherwise("")
+    old = F.coalesce(F.datediff(F.lit(as_of).cast("date"), F.to_date("__first")) >= reject_after, F.lit(False))
+    return full.select(id, F.when(reason == "", "promote").when(old, "reject").otherwise("keep").alias("action"), reason.alias("reason"))
+
+
 def fail_streak(df: DataFrame, *, by: str, day: str, failed: Column, order: str, as_of: str, back: int = 60) -> DataFrame:
     """(by, streak): recorded failing days in a row before ``as_of``; a day's last record counts, missing days are skipped.
 
@@ -80,6 +99,13 @@ def block_ids(df: DataFrame, *, by: list[str], order: str, starts: Column, piece
     return rows.withColumn("block", F.sum("__v").over(w) + F.coalesce("__before", F.lit(0))).drop("__v", "__p", "__before")
 
 
+def rank_in_pieces(df: DataFrame, *, by: list[str], order: str, name: str, piece: int = 1_000_000) -> DataFrame:
+    """Ranks rows from 1 by ``order``, a whole number, within each group; cut into pieces like :func:`carry`."""
+    rows = _with_pieces(df, by, order, piece, F.count(F.lit(1)), F.sum("__s"))
+    w = Window.partitionBy(*by, "__p").orderBy(order)
+    return rows.withColumn(name, (F.row_number().over(w) + F.coalesce("__before", F.lit(0))).cast("int")).drop("__p", "__before")
+
+
 def rotation_window(df: DataFrame, *, key: str, day: str, width: int) -> DataFrame:
     """The keys of today's window: sorted, starting at md5(day) modulo their number, wrapping round.
 
@@ -104,8 +130,11 @@ def global_rank(df: DataFrame, order: list[str]) -> DataFrame:
     return parts.withColumn("__i", F.row_number().over(w) - 1).join(F.broadcast(offsets), "__p").withColumn("rank", F.col("__o") + F.col("__i")).drop("__p", "__i", "__o")
 
 
-def hash_sample(df: DataFrame, key: str, seed: str, k: int) -> DataFrame:
-    """A repeatable sample of ``k`` rows: those with the least hash of seed and key. The limit is the feature."""
+def hash_sample(df: DataFrame, key: str, seed: str, k: int | None = None, ratio: tuple[int, int] | None = None) -> DataFrame:
+    """A repeatable sample of ``k`` rows, or of the ``ratio`` of all rows but at least one: those with the least hash of seed
+    and key. The limit is the feature."""
+    if ratio is not None:
+        k = max(1, df.count() * ratio[0] // ratio[1])
     return df.orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), key).limit(k)
 
 

@@ -133,6 +133,41 @@ def improve_only(cur: DataFrame, new: DataFrame, *, key: str, rank: str) -> Data
     return both.select(F.coalesce(key, "__k").alias(key), F.least(rank, "__r").alias(rank))
 
 
+def upsert_levels(entries: DataFrame, rows: DataFrame, *, name: str, address: str, day: str, level: str, best: list[str]) -> DataFrame:
+    """(name, address, day, level): an entry's levels by day after a day's results are merged in.
+
+    A result belongs to the entry with its address, else to the entry of its name that has no address yet, else it makes a new
+    one, named by its address where the name is taken or blank. A day's level is replaced only by a better one (by place in ``best``; levels not in it are worst, and of two of those
+    the newer result stands). ``entries`` has one row an entry and day; results of one entry and day count by their best.
+    """
+    place = lambda c: F.coalesce(F.array_position(F.array(*[F.lit(b) for b in best]), F.col(c)).cast("int"), F.lit(0))
+    rank = lambda c: F.when(place(c) > 0, place(c)).otherwise(len(best) + 1)
+    known = entries.groupBy(F.col(address).alias("__a")).agg(F.min(name).alias("__by_address")).where("__a is not null")
+    named = entries.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("__n")).agg(F.max(F.col(address).isNotNull()).alias("__has"))
+    r = rows.select(F.col(name).alias("rn"), F.col(address).alias("ra"), F.col(day).alias("rd"), F.col(level).alias("rl"))
+    r = r.join(known, F.col("ra") == F.col("__a"), "left").join(named, F.col("rn") == F.col("__n"), "left")
+    target = F.coalesce("__by_address", F.when(F.col("__has"), F.col("ra")), F.nullif("rn", F.lit("")), "ra")
+    news = r.select(target.alias(name), F.col("ra").alias("ra"), F.col("rd").alias(day), F.col("rl").alias("rl")).where(F.col(name).isNotNull())
+    news = news.groupBy(name, day).agg(F.min(F.struct(rank("rl").alias("k"), F.col("rl").alias("l"))).alias("__new"), F.min("ra").alias("ra"))
+    merged = entries.select(name, address, day, level).join(news, [name, day], "full_outer")
+    better = F.col("__new.k") < rank(level)
+    worst = (F.col("__new.k") == len(best) + 1) & (rank(level) == len(best) + 1)
+    return merged.select(name, F.coalesce(address, "ra").alias(address), day, F.when(F.col("__new").isNotNull() & (F.col(level).isNull() | better | worst), F.col("__new.l")).otherwise(F.col(level)).alias(level))
+
+
+def ledger_resolve(df: DataFrame, ledger: DataFrame, *, ref: str, url: str, local: str, name: str) -> DataFrame:
+    """Adds the local file of a reference from a ledger (url, local), or null.
+
+    Tried in this order: the reference as written, without a mirror prefix and checksum, and as a relative path. What isn't in
+    the ledger, such as a live endpoint, is no file. Of several entries the least file counts.
+    """
+    from heddle.functions.urls import bare_ref, path_norm
+
+    r = ledger.select(F.col(url).alias("__url"), F.col(local).alias("__file"), path_norm(F.col(local)).alias("__path"))
+    relative = F.when(~F.col(ref).rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.nullif(path_norm(bare_ref(F.col(ref))), F.lit("")))
+    return first_match(df, r, [(F.col(ref), "__url"), (bare_ref(F.col(ref)), "__url"), (relative, "__path")], "__file", "__file", name)
+
+
 def unfinished(jobs: DataFrame, lines: DataFrame, *, key: str, line: str, field: str) -> DataFrame:
     """Jobs without a parsable result line; garbage lines are ignored."""
     done = lines.select(F.get_json_object(F.when(F.try_parse_json(line).isNotNull(), F.col(line)), f"$.{field}").alias("__done")).where("__done is not null").distinct()

@@ -75,6 +75,23 @@ def prune_blocks(df: DataFrame, *, block: list[str], head: Column, dead: Column)
     return df.where(head | ~dead).join(alive.where("__alive").drop("__alive"), block, "left_semi")
 
 
+def scrub_lines(df: DataFrame, *, by: str, order: str, line: str, labelled: Column) -> DataFrame:
+    """Playlist lines without those of labelled names; ``labelled`` is a condition on a column ``name``.
+
+    A ``name,address`` line goes if its name is labelled; group headers and blank lines stay. A labelled ``#EXTINF`` goes with
+    all lines after it up to the next line that begins with #.
+    """
+    from heddle.operators.history import carry
+
+    text = F.trim(F.coalesce(line, F.lit("")))
+    info, mark = text.startswith("#EXTINF"), text.startswith("#")
+    rows = df.withColumn("name", F.when(info, F.trim(F.regexp_extract(text, r",([^,]*)$", 1))).when(~mark & text.contains(",") & ~text.rlike(r",\s*#genre#$"), F.trim(F.substring_index(text, ",", 1))).otherwise(""))
+    rows = rows.withColumn("__hit", F.coalesce(labelled, F.lit(False)) & (F.col("name") != ""))
+    rows = carry(rows, by=[by], order=order, state=F.when(mark, F.struct((info & F.col("__hit")).alias("drop"))), name="__s")
+    inside = F.coalesce("__s.drop", F.lit(False))
+    return rows.where(~(inside | (~mark & F.col("__hit")))).drop("name", "__hit", "__s")
+
+
 def dispose_dead(url: Column, local_exists: Column) -> Column:
     """What to do with a dead row: keep what has a local copy or no address, check code hosts again, drop direct ones."""
     from heddle.functions.urls import url_class
@@ -117,11 +134,16 @@ def exempt(path: Column, patterns: list[str]) -> Column:
     return F.coalesce(path.rlike("|".join(f"(?:{p})" for p in patterns)), F.lit(False)) if patterns else F.lit(False)
 
 
-def require(df: DataFrame, least: int, columns: list[str]) -> DataFrame:
-    """``df`` itself, or an error if it is too small or lacks a column; run before anything is overwritten."""
+def require(df: DataFrame, least: int, columns: list[str], *, at: str | None = None, as_of: str | None = None, hours: int = 48) -> DataFrame:
+    """``df`` itself, or an error if it is too small, lacks a column, or its newest ``at`` is over ``hours`` before ``as_of``
+    or missing; run before anything is overwritten."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
     if df.limit(least).count() < least:
         raise ValueError(f"fewer than {least} rows")
+    if at is not None:
+        late = df.agg(F.coalesce(F.max(F.col(at).cast("timestamp")) < F.lit(as_of).cast("timestamp") - F.make_dt_interval(F.lit(0), F.lit(hours)), F.lit(True))).first()[0]
+        if late:
+            raise ValueError(f"older than {hours} hours")
     return df

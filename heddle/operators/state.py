@@ -34,6 +34,37 @@ def stale_prune(df: DataFrame, *, key: str, seen: str, as_of: str, grace: int) -
     return df.where(F.datediff(F.lit(as_of).cast("date"), day) > grace).select(key).distinct()
 
 
+def stale_cascade(df: DataFrame, checks: DataFrame, *, key: str, seen: str, as_of: str, grace: int) -> tuple[DataFrame, DataFrame]:
+    """What stays of a table and of its checks once stale keys are pruned with everything recorded of them."""
+    gone = stale_prune(df, key=key, seen=seen, as_of=as_of, grace=grace)
+    return df.join(gone, key, "left_anti"), checks.join(gone, key, "left_anti")
+
+
+def index_plan(prev: DataFrame, repos: DataFrame, files: DataFrame, *, as_of: str, wait: int = 7, ttl: int = 45) -> DataFrame:
+    """(repo, path, action) of an incremental index of files in repositories.
+
+    ``prev`` has repo, pushed_at, path, sha, ok, at (the last look at a file and whether it was good); ``repos`` has repo and
+    pushed_at of those asked this round, null if asking failed; ``files`` has repo, path, sha of what is there now.
+
+    - A repository pushed since: files of the same sha are as they were, others are probed, vanished ones go.
+    - An unchanged one, one where asking failed, or one not asked this round: its files are as they were, without a listing.
+    - Of files as they were good ones are reused; failed ones are skipped within ``wait`` days and then probed again, but not
+      where asking failed. What was not looked at for over ``ttl`` days is pruned.
+    """
+    p = prev.select("repo", F.col("pushed_at").alias("was"), "path", F.col("sha").alias("old"), "ok", "at")
+    asked = repos.select("repo", F.col("pushed_at").alias("now"), F.lit(True).alias("asked"))
+    # One row a repository and path, with what was known and what is there.
+    now = files.select("repo", "path", F.col("sha").alias("new"))
+    both = p.join(now, ["repo", "path"], "full_outer").join(asked, "repo", "left")
+    full = both.join(p.groupBy("repo").agg(F.max("was").alias("before")), "repo", "left")
+    changed = F.col("asked").isNotNull() & F.col("now").isNotNull() & ~F.col("now").eqNullSafe(F.col("before"))
+    lost = F.col("asked").isNotNull() & F.col("now").isNull()
+    age = F.datediff(F.lit(as_of).cast("date"), F.to_date("at"))
+    kept = F.when(age > ttl, "prune").when(F.coalesce("ok", F.lit(False)), "reuse").when(lost | (age < wait), "skip").otherwise("probe")
+    action = F.when(changed & F.col("new").isNull(), "gone").when(changed & ~F.col("old").eqNullSafe(F.col("new")), "probe").when(F.col("old").isNull(), F.when(changed, "probe")).otherwise(kept)
+    return full.select("repo", "path", action.alias("action")).where("action is not null")
+
+
 def two_phase_gc(files: DataFrame, state: DataFrame, *, path: str, referenced: str, size: str, first_seen: str, as_of: str) -> DataFrame:
     """(path, action): keep, mark (first sighting), wait, or delete when the grace of the file's size is over.
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIR: dict[str, str] = {}
 _CLEANED: set[str] = set()
+_SCOPES: list[list[str]] = []
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,11 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back, which cuts lineage.
 
-    Unlike cached blocks the files outlive any executor. They go when the application ends.
+    Unlike cached blocks the files outlive any executor. They go when the application ends, or with a :func:`scratch` block.
     """
     spark = df.sparkSession
     base = f"{shared_dir(spark)}/heddle-{spark.sparkContext.applicationId}"
     path = f"{base}/{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(path)
     df.write.parquet(path)
     if base not in _CLEANED:
         _CLEANED.add(base)
@@ -51,6 +56,19 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drops the intermediate tables made inside the block when it ends; write or collect results before that."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [x for x in _SCOPES if x is not made]
+        for path in made:
+            _remove(spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm

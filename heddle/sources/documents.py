@@ -7,6 +7,7 @@ import gzip
 import json
 import re
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,10 +49,10 @@ def last_per_key(spark: SparkSession, path: str, schema: str, key: str) -> DataF
 
 
 def inventory(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
-    """(path, length, modificationTime, kind): files below a folder; contents are read only for ``content``."""
+    """(path, length, modificationTime): files below a folder. With ``content``, which reads them, also (kind, md5, sha1, sha256)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    base = files.select("path", "length", "modificationTime", *([magic_kind(F.substring("content", 1, 512)).alias("kind"), F.md5("content").alias("md5")] if content else []))
-    return base
+    read = [magic_kind(F.substring("content", 1, 512)).alias("kind"), F.md5("content").alias("md5"), F.sha1("content").alias("sha1"), F.sha2("content", 256).alias("sha256")]
+    return files.select("path", "length", "modificationTime", *(read if content else []))
 
 
 def upsert_registry(registry: DataFrame, changes: DataFrame, key: str) -> DataFrame:
@@ -62,11 +63,16 @@ def upsert_registry(registry: DataFrame, changes: DataFrame, key: str) -> DataFr
 _LAYER = re.compile(rb"^\s*[A-Za-z0-9]*\*\*([A-Za-z0-9+/=\s]+)$")
 
 
-def decode_layers(data: bytes | None, most_depth: int = 4, most_bytes: int = 8 << 20) -> bytes | None:
-    """Peels prefix-** base64, gzip and bare base64 off a document; plain text passes, and so does what is too deep or large."""
+def decode_layers(data: bytes | None, most_depth: int = 4, most_bytes: int = 256 << 20) -> bytes | None:
+    """Peels prefix-** base64, gzip and bare base64 off a document; plain text passes, and so does what is below the last layer.
+
+    A document that grows over ``most_bytes`` is an error, not a result: it would come out encoded and look whole.
+    """
     for _ in range(most_depth):
-        if data is None or len(data) > most_bytes:
-            return data
+        if data is None:
+            return None
+        if len(data) > most_bytes:
+            raise ValueError(f"a document of over {most_bytes} bytes")
         if data[:2] == b"\x1f\x8b":
             try:
                 data = gzip.decompress(data)
@@ -84,14 +90,23 @@ def decode_layers(data: bytes | None, most_depth: int = 4, most_bytes: int = 8 <
     return data
 
 
-def decoded(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Adds the decoded content of a binary column; Arrow batches, since no built-in inflates gzip."""
+def decoded(df: DataFrame, column: str, name: str, most_bytes: int = 256 << 20) -> DataFrame:
+    """Adds the decoded content of a binary column, and ``<name>_error``: why a document has none.
 
-    @F.pandas_udf("binary")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(decode_layers, na_action="ignore")
+    Arrow batches, since no built-in inflates gzip."""
+
+    def one(data: bytes | None) -> tuple[bytes | None, str | None]:
+        try:
+            return decode_layers(data, most_bytes=most_bytes), None
+        except ValueError as e:
+            return None, str(e)
+
+    @F.pandas_udf("content binary, error string")
+    def run(s: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(x) for x in s], columns=["content", "error"], dtype=object)
 
-    return df.withColumn(name, run(F.col(column).cast("binary")))
+    made = df.withColumn("__d", run(F.col(column).cast("binary")))
+    return made.withColumn(name, F.col("__d.content")).withColumn(f"{name}_error", F.col("__d.error")).drop("__d")
 
 
 def requestable_hosts(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -170,11 +185,53 @@ def write_version(df: DataFrame, folder: str, version: str, partition: list[str]
     return path
 
 
+def replace_json(df: DataFrame, path: str) -> str:
+    """Replaces a folder of JSON lines: the new one is written beside it and renamed into its place once it is complete.
+
+    A reader sees the old content or the new, and an input that is being read is not overwritten while it is read.
+    """
+    spark = df.sparkSession
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    here, made, old = Path(path), Path(f"{path}.new-{uuid.uuid4().hex}"), Path(f"{path}.old-{uuid.uuid4().hex}")
+    df.write.option("ignoreNullFields", "false").json(str(made))
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(here):
+        fs.rename(here, old)
+    if not fs.rename(made, here):
+        raise OSError(f"cannot rename to {path}")
+    if fs.exists(old):
+        fs.delete(old, True)
+    return path
+
+
+def rule_documents(vocab: DataFrame, *, document: str, key: str, value: str) -> DataFrame:
+    """(document, json): one JSON object a document, its keys sorted, each with its sorted distinct values.
+
+    The same rules give the same bytes, so writing them again changes nothing. A vocabulary is small by its meaning; the values
+    of a key are made distinct before they are brought together.
+    """
+    lists = vocab.where(F.col(document).isNotNull() & F.col(key).isNotNull() & F.col(value).isNotNull()).select(document, key, value).distinct()
+    lists = lists.groupBy(document, key).agg(F.array_sort(F.collect_set(value)).alias("v"))
+    doc = lists.groupBy(document).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "v")))).alias("m"))
+    return doc.select(F.col(document).alias("document"), F.to_json("m").alias("json"))
+
+
+def write_rules(rules: DataFrame, folder: str) -> None:
+    """Writes each document of :func:`rule_documents` under ``folder`` as document=<name>; only those given are replaced."""
+    w = rules.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("document")
+    w.text(folder)
+
+
 def markdown_table(df: DataFrame, most: int = 200) -> str:
-    """A small result as a Markdown table; the limit is the report's."""
-    rows = df.limit(most).collect()
+    """A small result as a Markdown table of at most ``most`` rows; how many rows are left out stands below it."""
+    rows, more = _first_rows(df, most)
     head = "| " + " | ".join(df.columns) + " |\n|" + " --- |" * len(df.columns)
-    return head + "".join("\n| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows) + "\n"
+    return head + "".join("\n| " + " | ".join("" if v is None else str(v).replace("|", "\\|") for v in r) + " |" for r in rows) + "\n" + (f"\n{more} more rows\n" if more else "")
+
+
+def _first_rows(df: DataFrame, most: int) -> tuple[list, int]:
+    rows = df.limit(most + 1).collect()
+    return rows[:most], df.count() - most if len(rows) > most else 0
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:
@@ -183,12 +240,12 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def html_table(df: DataFrame, title: str, most: int = 500) -> str:
-    """A small result as an HTML page; the limit is the report's."""
+    """A small result as an HTML page of at most ``most`` rows; how many rows are left out stands below the table."""
     from html import escape
 
-    rows = df.limit(most).collect()
+    rows, more = _first_rows(df, most)
     cells = lambda tag, values: "<tr>" + "".join(f"<{tag}>{escape('' if v is None else str(v))}</{tag}>" for v in values) + "</tr>"
-    return f"<!DOCTYPE html><title>{escape(title)}</title><table>{cells('th', df.columns)}{''.join(cells('td', r) for r in rows)}</table>"
+    return f"<!DOCTYPE html><title>{escape(title)}</title><table>{cells('th', df.columns)}{''.join(cells('td', r) for r in rows)}</table>" + (f"<p>{more} more rows</p>" if more else "")
 
 
 def export_subsets(df: DataFrame, folder: str, by: list[str]) -> None:

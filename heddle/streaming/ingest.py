@@ -5,12 +5,10 @@ The library's batch operators cover all data; these run the same logic increment
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from heddle.operators.state import fold_verdicts
 
 
 def read_drops(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
@@ -24,23 +22,9 @@ def hourly_counts(stream: DataFrame, *, at: str, kind: str, late: str = "1 day")
 
 
 def stream_verdicts(stream: DataFrame, *, key: str) -> DataFrame:
-    """(key, level) updates from a stream of (key, priority, rank, evidence, level, at): state is one row a key.
+    """(key, level) updates from a stream of (key, priority, rank, evidence, level, at), for output mode update.
 
-    The order is that of the batch fold, so replaying all drops in any order ends with the same verdicts.
+    The batch fold is an aggregate over a total order, so the stream is the same aggregate: its state is one row a key, and
+    replaying all drops in any order ends with the same verdicts.
     """
-
-    def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = state.get if state.exists else None
-        for b in batches:
-            for r in b.itertuples():
-                if r.rank >= 6 and not r.evidence and r.priority < 4:
-                    continue
-                order = (int(r.priority), bool(r.evidence), r.at.value if r.evidence else -1, -int(r.rank), r.at.value)
-                if best is None or order > tuple(best[:5]):
-                    best = (*order, r.level)
-        if best is not None:
-            state.update(tuple(best))
-            yield pd.DataFrame({key: [k[0]], "level": [best[5]]})
-
-    kind = dict(stream.dtypes)[key]
-    return stream.groupBy(key).applyInPandasWithState(fold, f"{key} {kind}, level string", "priority int, evidence boolean, seen long, neg_rank int, at long, level string", "update", GroupStateTimeout.NoTimeout)
+    return fold_verdicts(stream, key=key, priority="priority", rank="rank", evidence="evidence", level="level", at="at")
