@@ -9,15 +9,15 @@ from heddle.runtime import broadcast_if_small
 
 
 def row_hash(*columns: str | Column) -> Column:
-    """A 128-bit hash of the values as stored; null differs from every value and equals null.
+    """A 128-bit hash of the values as stored, as two whole numbers; null differs from every value and equals null.
 
-    Each value enters with its length in front, so neighbouring values can't run into one another.
+    Each value enters with its length, so neighbouring values can't run into one another.
     """
     parts = []
     for c in columns:
         v = (F.col(c) if isinstance(c, str) else c).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")))
-    return F.md5(F.concat_ws("|", *parts))
+        parts += [F.coalesce(F.length(v), F.lit(-1)), v]
+    return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
 
 
 def latest_rows(df: DataFrame, group: list[str], order: str, value: Column, name: str) -> DataFrame:
