@@ -1,8 +1,8 @@
 """Groups of records that pairwise matches link directly or indirectly.
 
 Union-find runs inside bounded pieces of the edge list and keeps only a spanning forest of each. The forests are merged
-level by level: at each level every vertex points to the best root that any forest gave it, and the other roots it got are
-the edges of the next, smaller level, whose vertices are roots only. Roots are ordered by a hash that changes with the
+level by level: at each level every vertex points to the best root that any forest gave it, and the roots it got, each with
+the next better one, are the edges of the next, smaller level, whose vertices are roots only. Roots are ordered by a hash that changes with the
 level, so a constant share of the vertices drops out at every level whatever the input's order, long chains included.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heddle.operators.union_find import union_find
@@ -65,8 +65,8 @@ def link_groups(pairs: DataFrame, *, a: str, b: str, most: int = 1_000_000) -> D
     - Keys are compared as stored, so '' is a key like any other. The smallest is by code point.
     - An empty table gives no rows. Further columns are not read, whatever their names.
 
-    A key in a third of all rows costs no more than others: it enters each forest once, and the aggregate that collects its
-    roots gets at most one row a piece. Nothing about vertices or edges goes to the driver except counts.
+    A key in a third of all rows costs no more than others: it enters each forest once, and its roots pass one after the
+    other, never gathered in a row. Nothing about vertices or edges goes to the driver except counts.
     """
     edges = pairs.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     parents: list[DataFrame] = []
@@ -74,10 +74,10 @@ def link_groups(pairs: DataFrame, *, a: str, b: str, most: int = 1_000_000) -> D
         seed = F.lit(len(parents))
         hashed = edges.select("a", F.xxhash64(seed, "a").alias("ha"), "b", F.xxhash64(seed, "b").alias("hb"))
         forest = hashed.mapInArrow(_forest(most), _FOREST)
-        roots = forest.groupBy("v").agg(F.min(F.struct("h", "r")).alias("best"), F.collect_set("r").alias("roots"))
-        merged = durable(roots.select("v", F.col("best.r").alias("up"), F.array_except("roots", F.array("best.r")).alias("rest")))
-        parents.append(merged.select("v", "up"))
-        edges = durable(merged.where(F.size("rest") > 0).select(F.col("up").alias("a"), F.explode("rest").alias("b")).distinct())
+        better = F.lag("r").over(Window.partitionBy("v").orderBy("h", "r")).alias("better")
+        chain = durable(forest.select("v", "r", better).where("better is null or better <> r"))
+        parents.append(chain.where("better is null").select("v", F.col("r").alias("up")))
+        edges = durable(chain.where("better is not null").select(F.col("better").alias("a"), F.col("r").alias("b")).distinct())
         left = edges.count()
         if not left:
             break
