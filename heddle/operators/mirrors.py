@@ -18,13 +18,18 @@ from heddle.operators.union_find import union_find
 from heddle.runtime import durable, hot_lookup
 
 
+def title_list(c: Column) -> Column:
+    """Normalised titles without blank ones."""
+    return F.filter(F.transform(F.coalesce(c, F.array()), title_norm), lambda x: x != "")
+
+
 def title_set(c: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce(c, F.array()), title_norm), lambda x: x != "")))
+    return F.sort_array(F.array_distinct(title_list(c)))
 
 
 def sketch(titles: Column, k: int = 64) -> Column:
     """The ``k`` least hash values of a set."""
-    return F.slice(F.array_sort(F.array_distinct(F.transform(titles, sketch_value))), 1, k)
+    return F.slice(F.sort_array(F.array_distinct(F.transform(titles, sketch_value))), 1, k)
 
 
 def mirror_pairs(df: DataFrame, *, id: str, type: str, titles: str, total: str, api: str, least: int = 5, strict: tuple[int, int] = (8, 10), loose: tuple[int, int] = (5, 10), tolerance: tuple[int, int] = (15, 100)) -> DataFrame:
@@ -34,8 +39,8 @@ def mirror_pairs(df: DataFrame, *, id: str, type: str, titles: str, total: str,
     ``loose`` and different hosts. Records of one type and set of titles are one class; classes are joined at ``loose`` by
     the prefixes of :mod:`heddle.operators.overlap`, so no pair is missed and no type is crossed with itself.
     """
-    rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), title_set(F.col(titles)).alias("set"), F.col(total).alias("total"), host_of(F.col(api)).alias("host"))
-    members, classes = set_classes(rows.where((F.size("set") >= least) & F.col("id").isNotNull() & F.col("type").isNotNull()))
+    rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), title_list(F.col(titles)).alias("set"), F.col(total).alias("total"), host_of(F.col(api)).alias("host"))
+    members, classes = set_classes(rows.where(F.col("id").isNotNull() & F.col("type").isNotNull()), least)
     links = durable(similar_classes(classes, loose[0] / loose[1]))
 
     def rule(total_b: str, host_b: str, common: Column, union: Column) -> Column:

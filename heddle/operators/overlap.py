@@ -20,16 +20,18 @@ from heddle.operators.blocks import block_pairs
 from heddle.runtime import durable
 
 
-def set_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def set_classes(rows: DataFrame, least: int = 1) -> tuple[DataFrame, DataFrame]:
     """Members (with ``cls`` in place of type and set) and classes (cls, type, toks, size, copies) of records of equal type and set.
 
-    ``rows`` has id, type, set (sorted, distinct strings) and what else members keep. ``cls`` is a 128-bit hash of type and
-    set; ``toks`` are 64-bit hashes of the entries: two entries of one pair of sets would have to agree in 64 bits to be
-    confused.
+    ``rows`` has id, type, set (an array of strings, repeats don't count) and what else members keep; records with fewer than
+    ``least`` entries are left out. ``toks`` are 64-bit hashes of the entries and ``cls`` is a hash of type and those in 16 bytes:
+    two entries of one pair of sets would have to agree in 64 bits to be confused.
     """
-    key = F.md5(F.concat_ws("\x1f", F.col("type").cast("string"), F.transform("set", lambda x: F.concat(F.length(x).cast("string"), F.lit(":"), x))))
     more = [c for c in rows.columns if c not in ("id", "type", "set")]
-    rows = durable(rows.select("id", "type", key.alias("cls"), F.transform("set", lambda x: F.xxhash64(x)).alias("toks"), *more))
+    toks = F.sort_array(F.array_distinct(F.transform("set", lambda x: F.xxhash64(x))))
+    rows = rows.select("id", "type", toks.alias("toks"), *more).where(F.size("toks") >= least)
+    half = lambda n: F.lpad(F.hex(F.xxhash64(F.lit(n), "type", F.size("toks"), "toks")), 16, "0")
+    rows = durable(rows.select("id", "type", F.unhex(F.concat(half(1), half(2))).alias("cls"), "toks", *more))
     classes = rows.groupBy("cls").agg(F.first("type").alias("type"), F.first("toks").alias("toks"), F.countDistinct("id").alias("copies"))
     classes = durable(classes.withColumn("size", F.size("toks")))
     return rows.select("id", "cls", *more), classes
@@ -68,7 +70,7 @@ def similar_classes(classes: DataFrame, threshold: float, *, most: int = 100, le
     counts = classes.select(F.explode("toks").alias("tok")).groupBy("tok").count().where(F.col("count") > line).toPandas()
     counts = counts.sort_values("tok")
     hot = spark.sparkContext.broadcast((counts["tok"].to_numpy(np.int64), counts["count"].to_numpy(np.int64)))
-    ordered = durable(classes.select("cls", "type", "toks", "size").mapInArrow(_order_tokens(hot), f"cls string, type {dict(classes.dtypes)['type']}, toks array<long>, size int"))
+    ordered = durable(classes.select("cls", "type", "toks", "size").mapInArrow(_order_tokens(hot), f"cls binary, type {dict(classes.dtypes)['type']}, toks array<long>, size int"))
     need = F.ceil((F.col("size") * top) / F.lit(base)).cast("int")
     prefix = lambda n: F.slice("toks", 1, F.least(F.col("size"), F.col("size") - need + n))
     keys = ordered.select("cls", "size", "type", F.lit(0).cast("long").alias("used"), F.lit(0).alias("last"), "toks")
