@@ -17,16 +17,16 @@ from heddle.runtime import durable, hot_lookup
 _BLANK = " \t\n\r\f\v\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
-def as_set(column: str) -> Column:
-    """The entries as a sorted set: trimmed, lower case, without null, blank and repeated ones; null for a null array."""
+def entries(column: str) -> Column:
+    """The entries trimmed and in lower case, without null and blank ones; null for a null array."""
     clean = F.transform(F.col(column), lambda x: F.lower(F.trim(x, F.lit(_BLANK))))
-    return F.array_sort(F.array_distinct(F.filter(clean, lambda x: x.isNotNull() & (x != ""))))
+    return F.filter(clean, lambda x: x.isNotNull() & (x != ""))
 
 
 def set_classes(df: DataFrame, *, id: str, type: str, values: str, least: int) -> tuple[DataFrame, DataFrame]:
     """Members (id, cls) and classes; records with a null id or type, or fewer than ``least`` entries, are left out."""
-    rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), as_set(values).alias("set"))
-    members, classes = class_sets(rows.where(F.col("id").isNotNull() & F.col("type").isNotNull() & (F.size("set") >= least)))
+    rows = df.select(F.col(id).alias("id"), F.col(type).alias("type"), entries(values).alias("set"))
+    members, classes = class_sets(rows.where(F.col("id").isNotNull() & F.col("type").isNotNull()), least)
     return members.distinct(), classes
 
 
