@@ -43,15 +43,21 @@ def alternate_prefixes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rewritten_jars(spark: SparkSession, d: str) -> DataFrame:
-    local = F.create_map(F.col("jar"), F.concat(F.lit("local/"), F.substr(F.md5("jar"), F.lit(1), F.lit(6))))
+    """References of three fields in one, two of them with a local name; the source, and a jar of even length, failed."""
+    jar, key = F.concat(F.lit("j:"), "jar"), F.concat(F.lit("k:"), F.coalesce("key", F.lit("")))
+    local = F.create_map(jar, F.concat(F.lit("local/"), F.substr(F.md5("jar"), F.lit(1), F.lit(6))), key, F.concat(F.lit("keys/"), F.length("key")))
     t = table(spark, d, "sites").where("jar <> ''")
-    chain = F.concat_ws("$$$", "jar", "key", "src")
-    return t.select("row_id", catalog.rewrite_segments(chain, local, F.array("src")).alias("refs"))
+    chain = F.concat_ws("$$$", jar, key, "src", F.lit("own.jar"))
+    failed = F.array_compact(F.array(F.col("src"), F.when(F.length("jar") % 2 == 0, jar)))
+    return t.select("row_id", catalog.rewrite_segments(chain, local, failed).alias("refs"))
 
 
 def inlined_rules(spark: SparkSession, d: str) -> DataFrame:
-    m = F.create_map(F.lit("a"), F.coalesce("name", F.lit("")), F.lit("b"), F.lit("xy"))
-    return table(spark, d, "lives").select("live_id", catalog.inline_segments(F.lit("a$$$b$$$c"), m, 3, 12).alias("s")).select("live_id", "s.text", "s.notes")
+    """Parts of a field replaced by what they stand for: the name and the health of the entry; its source stands for nothing."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    m = F.create_map(F.concat(F.lit("n:"), "live_id"), text("name"), F.concat(F.lit("h:"), text("group_name")), text("health"))
+    field = F.concat_ws("$$$", F.concat(F.lit("n:"), "live_id"), F.concat(F.lit("h:"), text("group_name")), F.col("src"))
+    return table(spark, d, "lives").select("live_id", catalog.inline_segments(field, m, 3, 12).alias("s")).select("live_id", "s.text", "s.notes")
 
 
 def segment_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -199,8 +205,10 @@ def _sql() -> dict[str, str]:
         "preferred_blobs": "SELECT source, path, n::INT AS n FROM (SELECT source, doc_id || '.json' AS path, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id || '.json') AS n FROM documents WHERE doc_id % 3 <> 0 AND n_chars BETWEEN 500 AND 12582912) WHERE n <= 8",
         "alternate_prefixes": """WITH p AS (SELECT list(DISTINCT 'https://' || lower(replace(r_name, ' ', '-')) || '.example/' ORDER BY 'https://' || lower(replace(r_name, ' ', '-')) || '.example/') AS l FROM region), t AS (SELECT DISTINCT url FROM lives WHERE health = 'dead' AND url LIKE 'http%' AND channels > 5)
           SELECT url, unnest(list_transform(list_filter(l, lambda x: NOT starts_with(url, x))[1:3], lambda x: x || regexp_replace(url, '^https?://[^/]+/(https?://)', '\\1'))) AS candidate FROM t, p""",
-        "rewritten_jars": "SELECT row_id, 'local/' || substr(md5(jar), 1, 6) || CASE WHEN key <> '' AND key IS DISTINCT FROM src THEN '$$$' || key ELSE '' END AS refs FROM sites WHERE jar <> ''",
-        "inlined_rules": "SELECT live_id, CASE WHEN length(n) BETWEEN 3 AND 12 THEN n ELSE 'a' END || '$$$b$$$c' AS text, CASE WHEN length(n) BETWEEN 3 AND 12 THEN 'inlined' WHEN length(n) < 3 THEN 'small' ELSE 'large' END || ',small,kept' AS notes FROM (SELECT live_id, coalesce(name, '') AS n FROM lives)",
+        "rewritten_jars": "SELECT row_id, CASE WHEN length(jar) % 2 = 1 THEN 'local/' || substr(md5(jar), 1, 6) || '$$$' ELSE '' END || CASE WHEN key IS NULL THEN 'k:' ELSE 'keys/' || length(key) END || '$$$own.jar' AS refs FROM sites WHERE jar <> ''",
+        "inlined_rules": """WITH t AS (SELECT live_id, coalesce(name, '') AS n, coalesce(health, '') AS h, 'h:' || coalesce(group_name, '') AS g, src FROM lives)
+          SELECT live_id, concat_ws('$$$', CASE WHEN length(n) BETWEEN 3 AND 12 THEN n ELSE 'n:' || live_id END, CASE WHEN length(h) BETWEEN 3 AND 12 THEN h ELSE g END, src) AS text,
+            CASE WHEN length(n) BETWEEN 3 AND 12 THEN 'inlined' WHEN length(n) < 3 THEN 'small' ELSE 'large' END || CASE WHEN length(h) BETWEEN 3 AND 12 THEN ',inlined' WHEN length(h) < 3 THEN ',small' ELSE ',large' END || CASE WHEN src IS NULL THEN '' ELSE ',kept' END AS notes FROM t""",
         "segment_labels": "SELECT live_id, len(list_filter(string_split(concat_ws('/', group_name, replace(coalesce(name, ''), ' ', '/')), '/'), lambda s: regexp_matches(trim(s), '^(?:TV|其他|Kids)$'))) > 0 AS hit FROM lives",
         "archive_verdicts": """WITH e AS (SELECT CASE WHEN live_id % 7 = 0 THEN 'vocab/' ELSE 'x/' END || src || CASE WHEN live_id % 2 = 0 THEN '.jar' ELSE '.txt' END AS e, coalesce(name, '') AS v FROM lives), s AS (SELECT e, CASE WHEN regexp_matches(e, '\\.(jar|png|jpg|zip)$') THEN e ELSE v END AS s FROM e)
           SELECT CASE WHEN regexp_matches(e, '(^|/)vocab') THEN 'skipped' WHEN NOT regexp_matches(s, 'TV|体育|tv1') THEN 'clean' WHEN regexp_matches(s, 'Canal|台') THEN 'guarded' ELSE 'word' END AS verdict, count(*) AS n FROM s GROUP BY 1""",

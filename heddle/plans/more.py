@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -236,6 +239,44 @@ def write_guards(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(rows, "guard string, passed boolean")
 
 
+def rewritten_products(spark: SparkSession, d: str) -> DataFrame:
+    """Paths in a text replaced, the longest first."""
+    pairs = [("/api", "/A"), ("/api.php", "/B"), ("/api.php/provide", "/C"), ("vod", "v")]
+    return table(spark, d, "sites").select("row_id", documents.rewrite_references(F.col("api"), pairs).alias("api"))
+
+
+def reports(spark: SparkSession, d: str) -> DataFrame:
+    """The regions as Markdown and as a page."""
+    t = table(spark, d, "region").select("r_regionkey", "r_name").orderBy("r_regionkey")
+    return spark.createDataFrame([("markdown", documents.markdown_table(t)), ("html", documents.html_table(t, "Regions")), ("short", documents.markdown_table(t, most=1))], "kind string, text string")
+
+
+def ascii_hosts(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses with a host that isn't ASCII, made requestable; path and query stay as they are."""
+    tail = F.regexp_replace(F.coalesce("url", F.lit("")), "(?s)^[A-Za-z]+://[^/?#]*", "")
+    t = table(spark, d, "lives").select("live_id", F.concat(F.lit("http://"), F.element_at(F.array(*[F.lit(h) for h in ("bücher.example", "例子.test", "plain.test")]), (F.col("live_id") % 3 + 1).cast("int")), F.lit(":8080/"), tail).alias("url"))
+    return documents.requestable_hosts(t, "url", "sent").select("live_id", "sent")
+
+
+def archives(spark: SparkSession, d: str) -> DataFrame:
+    """Names in zip archives, some of them broken, and the reason why they have no classes."""
+
+    @F.pandas_udf("binary")
+    def packed(names_: pd.Series) -> pd.Series:
+        def one(name: str) -> bytes:
+            with zipfile.ZipFile(out := io.BytesIO(), "w") as z:
+                for x in (f"z/{name}.txt", "a.json"):
+                    z.writestr(x, name)
+            return out.getvalue() if len(name) % 2 else b"broken"
+
+        return names_.map(one)
+
+    t = durable(table(spark, d, "nation").select("n_name", packed("n_name").alias("content")))
+    entries = documents.archive_entries(t, path="n_name", content="content")
+    classes = documents.dex_classes(t, path="n_name", content="content")
+    return entries.join(classes, "path").select("path", F.col("error").isNotNull().alias("broken"), F.coalesce(F.array_join("entries", ","), F.lit("")).alias("entries"), F.substring_index("err", ":", 1).alias("err"), F.col("classes").isNull().alias("no_classes"))
+
+
 def ratio_sample(spark: SparkSession, d: str) -> DataFrame:
     return history.hash_sample(table(spark, d, "customer").select("c_custkey"), "c_custkey", "seed2", ratio=(1, 20))
 
@@ -319,6 +360,12 @@ def _sql() -> dict[str, str]:
         "registry": "SELECT s_suppkey * 2 AS s_suppkey, 'new' AS state FROM supplier WHERE s_suppkey % 3 = 0 UNION ALL SELECT s_suppkey, 'old' FROM supplier WHERE s_suppkey NOT IN (SELECT s_suppkey * 2 FROM supplier WHERE s_suppkey % 3 = 0)",
         "write_guards": """WITH t AS (SELECT count(*) FILTER (NOT coalesce(type = 3, false)) AS n, count(*) FILTER (NOT coalesce(type = 3, false) AND level IS NOT NULL) AS good, count(*) AS all_, max(updated_at) AS last FROM interfaces)
           SELECT 'verdicts' AS guard, good * 2 >= n AS passed FROM t UNION ALL SELECT 'verdicts strict', good >= n FROM t UNION ALL SELECT 'size', all_ >= 100 FROM t UNION ALL SELECT 'column', false UNION ALL SELECT 'age', last >= TIMESTAMP '2026-09-29 00:00:00' FROM t UNION ALL SELECT 'age strict', last >= TIMESTAMP '2027-09-29 00:00:00' FROM t""",
+        "rewritten_products": "SELECT row_id, replace(replace(replace(replace(api, '/api.php/provide', '/C'), '/api.php', '/B'), '/api', '/A'), 'vod', 'v') AS api FROM sites",
+        "reports": """WITH r AS (SELECT string_agg('| ' || r_regionkey || ' | ' || r_name || ' |', chr(10) ORDER BY r_regionkey) AS m, string_agg('<tr><td>' || r_regionkey || '</td><td>' || r_name || '</td></tr>', '' ORDER BY r_regionkey) AS h, count(*) AS n, min_by(r_name, r_regionkey) AS f FROM region),
+          t AS (SELECT *, '| r_regionkey | r_name |' || chr(10) || '| --- | --- |' || chr(10) AS top FROM r)
+          SELECT 'markdown' AS kind, top || m || chr(10) AS text FROM t UNION ALL SELECT 'html', '<!DOCTYPE html><title>Regions</title><table><tr><th>r_regionkey</th><th>r_name</th></tr>' || h || '</table>' FROM t UNION ALL SELECT 'short', top || '| 0 | ' || f || ' |' || chr(10) || chr(10) || (n - 1) || ' more rows' || chr(10) FROM t""",
+        "ascii_hosts": "SELECT live_id, 'http://' || ['xn--bcher-kva.example', 'xn--fsqu00a.test', 'plain.test'][live_id % 3 + 1] || ':8080/' || regexp_replace(coalesce(url, ''), '(?s)^[A-Za-z]+://[^/?#]*', '') AS sent FROM lives",
+        "archives": "SELECT n_name AS path, length(n_name) % 2 = 0 AS broken, CASE WHEN length(n_name) % 2 = 1 THEN 'a.json,z/' || n_name || '.txt' ELSE '' END AS entries, CASE WHEN length(n_name) % 2 = 1 THEN 'no-dex-entry' ELSE 'zip' END AS err, true AS no_classes FROM nation",
         "ratio_sample": "SELECT c_custkey FROM customer ORDER BY md5('seed2' || c_custkey), c_custkey LIMIT (SELECT greatest(1, count(*) // 20) FROM customer)",
         "streamed_verdicts": f"""WITH r AS (SELECT key, type AS p, {_RANK.format('level')} AS k, coalesce(total > 0, false) AS e, level, generated_at AS g, probe_id AS i FROM sites_probe WHERE key IS NOT NULL AND level IS NOT NULL)
           SELECT key, level FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY p DESC NULLS LAST, e DESC, CASE WHEN e THEN g END DESC NULLS LAST, CASE WHEN e THEN i END DESC NULLS LAST, k, g DESC, i DESC) AS n FROM r WHERE k < 6 OR e OR coalesce(p, -1) >= 4) WHERE n = 1""",

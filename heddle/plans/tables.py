@@ -119,7 +119,7 @@ def forall_falsified(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shell_follow(spark: SparkSession, d: str) -> DataFrame:
-    m = table(spark, d, "mirror_groups").where("is_match and key < peer_key and key is not null")
+    m = table(spark, d, "mirror_groups").where("is_match and key is not null and peer_key is not null")  # either way, so in loops too
     return joins.follow(m, src="key", dst="peer_key", most=4)
 
 

@@ -58,7 +58,7 @@ def make_sql(b: str, a: str, nk: str, as_of: str) -> dict[str, str]:
         "reuse_or_probe": """WITH d AS (SELECT key, max(generated_at) FILTER (l1_ok) AS at FROM sites_probe WHERE key IS NOT NULL GROUP BY key)
           SELECT CASE WHEN d.at > TIMESTAMP '2026-09-27 12:00:00' THEN 'reuse' ELSE 'probe' END AS action, count(*) AS n FROM (SELECT DISTINCT key FROM sites WHERE key IS NOT NULL) s LEFT JOIN d USING (key) GROUP BY 1""",
         "forall_falsified": "SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING bool_and(coalesce(l_returnflag IN ('R', 'A'), false)) AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')",
-        "shell_follow": """WITH RECURSIVE e AS (SELECT DISTINCT key AS s, peer_key AS t FROM mirror_groups WHERE is_match AND key < peer_key), w(src, dst, depth) AS (SELECT s, t, 1 FROM e UNION SELECT w.src, e.t, w.depth + 1 FROM w JOIN e ON e.s = w.dst WHERE w.depth < 4 AND w.src <> e.t)
+        "shell_follow": """WITH RECURSIVE e AS (SELECT DISTINCT key AS s, peer_key AS t FROM mirror_groups WHERE is_match AND key <> peer_key), w(src, dst, depth) AS (SELECT s, t, 1 FROM e UNION SELECT w.src, e.t, w.depth + 1 FROM w JOIN e ON e.s = w.dst WHERE w.depth < 4 AND w.src <> e.t)
           SELECT src, dst, min(depth) AS depth FROM w GROUP BY 1, 2""",
         "health_distribution": "SELECT snapshot_date, coalesce(health, 'unknown') AS health, count(*) AS n FROM interfaces GROUP BY 1, 2",
         "avail_ratio": "SELECT event_type, count(*) AS n, count(*) FILTER (value > 50) AS \"over\", count(*) FILTER (value > 50)::DOUBLE / count(*) AS share FROM events GROUP BY 1",

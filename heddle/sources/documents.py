@@ -113,7 +113,7 @@ def requestable_hosts(df: DataFrame, column: str, name: str) -> DataFrame:
     """Adds the address with its host in ASCII (IDNA); port, path and existing escapes stay, hopeless hosts too."""
 
     def one(u: str) -> str:
-        m = re.match(r"^([A-Za-z][A-Za-z0-9+.\-]*://)([^/:?#]+)(.*)$", u)
+        m = re.match(r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*://)([^/:?#]+)(.*)$", u)
         if not m or m.group(2).isascii():
             return u
         try:

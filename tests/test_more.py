@@ -166,3 +166,8 @@ def test_scratch_drops_its_tables(spark):
         path = df.inputFiles()[0].rsplit("/", 1)[0]
         assert df.count() == 3 and documents.exists(spark, path)
     assert not documents.exists(spark, path)
+
+
+def test_hosts_of_addresses_with_line_breaks(spark):
+    df = frame(spark, [("http://bücher.example:80/a\nb",), ("http://plain.example/é\n",), ("ü",), (None,)], "u string")
+    assert [r.s for r in documents.requestable_hosts(df, "u", "s").collect()] == ["http://xn--bcher-kva.example:80/a\nb", "http://plain.example/é\n", "ü", None]
