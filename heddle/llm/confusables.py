@@ -106,7 +106,9 @@ def skeleton_of(column: Column, ascii_alike: bool = False) -> Column:
     def run(texts: pd.Series) -> pd.Series:
         table = shared.value
         if id(table) not in _BUILT:
-            _BUILT[id(table)] = _Prototypes(table)
+            if len(_BUILT) > 3:
+                _BUILT.clear()  # of earlier queries
+            _BUILT[id(table)] = _Prototypes(table)  # which keeps the table, so its id stays its own
         known = _BUILT[id(table)]
         codes, distinct = pd.factorize(texts, use_na_sentinel=True)
         made = pd.Series([*(skeleton(x, known) for x in distinct), None], dtype=object)
