@@ -49,7 +49,8 @@ class ShapeConfig:
     """``share``: of the characters, above which a page is flagged, held by at most ``few`` shapes. ``repeats``: pieces of one
     short shape that make a list; a piece is short up to ``short`` words. ``fields``: fields between separators that make a
     list if they have at most ``field_words`` words on average; twice as many if the piece ends like a sentence.
-    ``run``: words from which a piece that repeats a share of ``again`` of its word pairs is a list. ``wrapped``: characters of
+    ``run``: words from which a piece is a list that repeats a share of ``again`` of its word pairs or of ``same`` of its words,
+    or of which one word makes up ``most``. ``wrapped``: characters of
     a line that the next one may continue. Sentences are stuffed if they repeat a share of ``within`` of their word pairs
     inside themselves and ``around`` of them occur ``times`` times in the ``near`` sentences on either side."""
 
@@ -62,6 +63,7 @@ class ShapeConfig:
     run: int = 12
     again: float = 0.28
     same: float = 0.45
+    most: float = 0.33
     caps: float = 0.75
     wrapped: int = 30
     near: int = 3
@@ -92,7 +94,10 @@ def _repeats(units: list, words: list[str], c: ShapeConfig) -> bool:
     """Whether a piece says the same again and again. Taken over stretches of a hundred, since any long text repeats itself."""
     if _again(units) >= c.again * len(units):
         return True
-    return len(words) >= 2 * c.run and _again(words) >= c.same * len(words)
+    same = _again(words)
+    if len(words) >= 2 * c.run and same >= c.same * len(words):
+        return True
+    return same >= c.most * len(words) and max(Counter(words).values()) >= c.most * len(words)
 
 
 def _again(items: list) -> int:

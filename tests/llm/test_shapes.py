@@ -105,3 +105,11 @@ def test_many_different_short_lines_are_no_list():
     r = random.Random(4)
     word = lambda: "".join(r.choice(["ba", "Ri", "to", "Sel", "7", "ka", "Ve"]) for _ in range(3))
     assert list_share("\n".join(" ".join(word() for _ in range(r.randrange(5, 9))) for _ in range(60))) < 0.5
+
+
+def test_keywords_run_together():
+    """Keywords glued end to start leave one word that comes again and again."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice(["ba", "ri", "to", "sel", "mun", "ka", "ve"]) for _ in range(2)).title()
+    for n in (9, 12, 30, 200):
+        assert list_share("".join(f"free tora {word()}" for _ in range(n))) > 0.5
