@@ -96,10 +96,9 @@ def format_copies(df: DataFrame, *, id: str, fields: dict[str, Callable[[Column]
 
 
 def format_firsts(df: DataFrame, *, id: str, fields: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """(id, first_id) for every record: the smallest id of its group, which is its own for the first of them."""
+    """(id, first_id) for every record that has copies: the smallest id of its group, which is its own for the first of them."""
     members, groups = format_groups(df, id=id, fields=fields)
-    first = F.coalesce("first_id", "id").alias("first_id")
-    return hot_lookup(members, groups.where("copies > 1"), ["tuple"], "copies").select("id", first)
+    return hot_lookup(members, groups.where("copies > 1"), ["tuple"], "copies").where(F.col("first_id").isNotNull()).select("id", "first_id")
 
 
 def collapse_formats(df: DataFrame, *, id: str, fields: dict[str, Callable[[Column], Column]]) -> DataFrame:

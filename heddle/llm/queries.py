@@ -76,7 +76,11 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_fused(spark: SparkSession, d: str) -> DataFrame:
-    """One site record for each group of formatting duplicates: every field by what the sources that deliver it say."""
+    """One site record for each group of formatting duplicates: every field by what the sources that deliver it say.
+
+    Groups have at least two records. A record without copies is its own survivor; with nothing to compare it with, it says
+    nothing about its source, and its posterior would only repeat what is held of that source.
+    """
     sites = table(spark, d, "sites")
     firsts = format_firsts(sites, id="row_id", fields=_SITE_FIELDS)
     records = sites.select(F.col("row_id").alias("id"), "src", "name", "group_name", "jar", "searchable", "quick_search").join(firsts, "id")
