@@ -239,20 +239,12 @@ def _fuse_in_tables(one: DataFrame, c: FusionConfig, only_newest: bool) -> DataF
 
 
 def decide_newest(claims: DataFrame, *, entity: str, source: str, value: str, at: str, config: FusionConfig | None = None) -> DataFrame:
-    """(entity, value): the newest value of each entity; where its newest claims differ, :func:`fuse` chooses among them.
+    """(entity, value, posterior): the newest value of each entity; of several the one with the greatest posterior.
 
-    The rules are those of :func:`fuse` with ``at``. Where all newest claims agree no posterior can change the value, so
-    sources are estimated only if there is an entity whose newest claims differ.
+    The rules are those of :func:`fuse` with ``at``, and so are the steps: all claims, newest or not, estimate accuracies and
+    dependence, and every entity's posteriors come from them, also where its newest claims agree and nothing is left to choose.
     """
-    rows = claims.select(F.col(entity).alias("entity"), F.col(source).alias("source"), F.col(value).cast("string").alias("value"), F.col(at).alias("at")).where("entity is not null and source is not null and value is not null and at is not null")
-    ends = rows.groupBy("entity", "at").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    newest = durable(ends.groupBy("entity").agg(F.max_by(F.struct("lo", "hi"), "at").alias("v")).select("entity", "v.lo", "v.hi"))
-    settled = newest.where("lo = hi").select("entity", F.col("lo").alias("value"))
-    open_ = newest.where("lo <> hi").select("entity")
-    if open_.isEmpty():
-        return settled
-    chosen = fuse(rows, entity="entity", source="source", value="value", at="at", config=config)
-    return settled.unionByName(chosen.join(open_, "entity", "left_semi").select("entity", "value"))
+    return fuse(claims, entity=entity, source=source, value=value, at=at, config=config)
 
 
 def golden_records(records: DataFrame, *, entity: str, source: str, fields: list[str], config: FusionConfig | None = None) -> DataFrame:

@@ -69,6 +69,20 @@ def test_newest_values_and_conflicts_among_them(spark):
     assert decide_newest(df.limit(0), entity="e", source="s", value="v", at="t").count() == 0
 
 
+def test_newest_values_come_through_the_method_without_conflicts_too(spark):
+    """No entity has two newest values, yet each has its posterior from estimated sources, in which copies add less."""
+    rows = [("copied", s, "v", day(2)) for s in ("bad", "copy")] + [("apart", s, "v", day(2)) for s in ("good", "fine")]
+    for i in range(100):
+        rows += [(f"e{i}", s, f"t{i}", day(1)) for s in ("good", "fine", "sound")]
+        rows += [(f"e{i}", s, *((f"t{i}", day(1)) if i % 3 else (f"x{i}", day(2)))) for s in ("bad", "copy")]
+    df = spark.createDataFrame(rows, "e string, s string, v string, t timestamp")
+    names = {"entity": "e", "source": "s", "value": "v", "at": "t"}
+    got, same = ({x.entity: (x.value, round(x.posterior, 9)) for x in made.collect()} for made in (decide_newest(df, **names), fuse(df, **names)))
+    assert got == same and len(got) == 102
+    assert got["e0"][0] == "x0" and got["e1"][0] == "t1" and got["e0"][1] < got["e1"][1]
+    assert got["copied"][0] == got["apart"][0] == "v" and got["copied"][1] < got["apart"][1] - 0.01
+
+
 def test_golden_records(spark):
     rows = [(1, s, "Name", 5, None) for s in "abc"] + [(1, "d", "Nme", 5, "j"), (2, "a", None, None, None), (None, "a", "x", 1, "y"), (3, None, "x", 1, "y")]
     got = sorted((r.entity, r.field, r.value) for r in golden_records(spark.createDataFrame(rows, "id long, src string, name string, n int, jar string"), entity="id", source="src", fields=["name", "n", "jar"]).collect())
